@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .membership import split_by_keys
 from .shared import Scratch
 
 _NO_ID = -(2**63)
@@ -101,7 +102,10 @@ def mark_repeated_lines(docs: DataFrame, least_lines: int = 3, least_words: int
     marks = marks.select(*_KEY, F.col("x.line").alias("_removed"), F.size(starts).alias("_runs"))
     marks = marks.join(depths.groupBy(*_KEY).agg(F.max("depth").alias("_depth")), _KEY)
     marks = scratch.table("marks", marks)
-    out = docs.join(marks, _KEY, "left").drop(*_KEY)
+    # Most documents have no mark; they stay where they are, the others are shuffled to theirs.
+    some, others = split_by_keys(docs, "copy", marks)
+    blank = [F.lit(None).cast(marks.schema[c].dataType).alias(c) for c in ("_removed", "_runs", "_depth")]
+    out = some.join(marks, _KEY, "left").unionByName(others.select("*", *blank)).drop(*_KEY)
     return out.withColumn("_lines", F.split(text_col, "\n", -1))
 
 
