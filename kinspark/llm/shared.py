@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -36,6 +37,11 @@ class Scratch:
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def sweep(self) -> None:
+        """Let Spark's cleaner delete the shuffle files of queries that are over; it follows the driver's garbage collection."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         """Delete a written table that nothing reads any more."""
         jvm = self.spark.sparkContext._jvm

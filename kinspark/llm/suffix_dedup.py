@@ -22,6 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .membership import may_hold, wide_bitmap
 from .shared import Scratch
 from .text import chunks, mix, prefix_sums, span_hashes
 
@@ -29,8 +30,6 @@ from .text import chunks, mix, prefix_sums, span_hashes
 GRAM = 32
 #: Differing contexts of a bucket up to which one task sorts them.
 CROWD = 20_000
-#: Bits of the broadcast filter of repeated anchors (8 MB whatever the corpus; a full filter only filters less).
-FILTER_BITS = 1 << 26
 #: Text handled at a time.
 CHUNK = 1 << 20
 #: A difference cover modulo 31: the differences of its members give every residue.
@@ -194,8 +193,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, kept: Broadcast
             if kept is None:
                 yield pa.RecordBatch.from_arrays([pa.array(gram)], ["gram"])
                 continue
-            bit = gram & (FILTER_BITS - 1)
-            seen = np.frombuffer(kept.value, dtype=np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
+            seen = may_hold(kept.value, gram)
             place, first, last, gram = place[seen], first[seen], last[seen], gram[seen]
             context = mix(span_hashes(sums, first, last + length) + mix((place - first).astype(np.uint64)))
             document = np.searchsorted(offsets, place, side="right") - 1
@@ -207,30 +205,13 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, kept: Broadcast
             )
 
 
-def _filter(repeated: DataFrame) -> Broadcast:
-    """A bitmap of FILTER_BITS bits with the anchors in ``repeated``; gathered in 2048 pieces of 4 KB."""
-    width = FILTER_BITS // 2048
-
-    def piece(table: pa.Table) -> pa.Table:
-        bits = np.zeros(width, dtype=np.uint8)
-        bits[table.column("bit").to_numpy() % width] = 1
-        return pa.table([table.column("piece").slice(0, 1), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["piece", "bits"])
-
-    bit = F.col("gram").bitwiseAND(F.lit(FILTER_BITS - 1))
-    rows = repeated.select(bit.alias("bit")).distinct().withColumn("piece", F.floor(F.col("bit") / F.lit(width)).cast("int"))
-    bitmap = bytearray(FILTER_BITS // 8)
-    for r in rows.groupBy("piece").applyInArrow(piece, "piece int, bits binary").collect():
-        bitmap[r["piece"] * width // 8 : (r["piece"] + 1) * width // 8] = r["bits"]
-    return repeated.sparkSession.sparkContext.broadcast(bytes(bitmap))
-
-
 def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """(id, copy, from, to): byte spans covered by strings of ``length`` bytes that also start earlier; spans may overlap.
 
     ``docs`` has id, copy and text."""
     grams = docs.select("id", "copy", "text").mapInArrow(lambda b: _anchor_rows(b, length, None), "gram long")
     repeated = scratch.table("repeated", grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
-    kept = _filter(repeated)
+    kept = wide_bitmap(repeated)
     schema = "gram long, context long, id long, copy long, at long, first long, last long"
     found = docs.select("id", "copy", "text").mapInArrow(lambda b: _anchor_rows(b, length, kept), schema)
     found = scratch.table("anchors", found)
@@ -239,16 +220,24 @@ def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     stretch = scratch.table("contexts", stretch)
     whole = found.join(stretch.select("gram", "context", "least"), ["gram", "context"]).where(place != F.col("least"))
     whole = whole.select("id", "copy", F.col("first").alias("from"), (F.col("last") + length).alias("to"))
+    whole = scratch.table("whole", whole)
+    scratch.drop("anchors")
+    scratch.sweep()
     # Contexts that differ around one anchor string: only the first place of each is left to compare.
     per_gram = stretch.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
     rows = stretch.join(per_gram, "gram").select("gram", "n", "row.*")
     rows = scratch.table("contested", rows)
+    scratch.drop("contexts")
     texts = _with_texts(docs, rows, length)
     texts = scratch.table("contested-texts", texts)
+    scratch.drop("contested")
+    scratch.sweep()
     part = texts.where(F.col("n") <= CROWD).repartition("gram").mapInArrow(lambda b: _sorted_part(b, length), "id long, copy long, from long, to long")
     crowd = _crowd_spans(texts.where(F.col("n") > CROWD), length)
-    spans = whole.unionByName(part).unionByName(crowd)
-    return scratch.table("spans", spans)
+    spans = scratch.table("spans", part.unionByName(crowd))
+    scratch.drop("contested-texts")
+    scratch.sweep()
+    return whole.unionByName(spans)
 
 
 def _with_texts(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
@@ -272,7 +261,7 @@ def _with_texts(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
 
 
 def _sorted_part(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Later windows of all buckets of a task, about 8 MB of contexts at a time, buckets kept whole."""
+    """Later windows of all buckets of a task, about 3 MB of contexts at a time, buckets kept whole."""
     rows = [b for b in batches if b.num_rows]
     if not rows:
         return
@@ -282,7 +271,7 @@ def _sorted_part(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
     sizes = np.cumsum(table.column("last").to_numpy() - table.column("first").to_numpy() + length)
     done = 0
     while done < len(gram):
-        end = int(np.searchsorted(sizes, sizes[done] + (8 << 20)))
+        end = int(np.searchsorted(sizes, sizes[done] + (3 << 20)))
         end = int(np.searchsorted(gram, gram[min(end, len(gram) - 1)], side="right"))
         some = table.slice(done, end - done)
         done = end
