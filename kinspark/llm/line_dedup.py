@@ -16,18 +16,19 @@ from .membership import split_by_keys
 from .shared import Scratch
 
 _NO_ID = -(2**63)
-_KEY = ["id", "copy"]
+#: Names of the key inside joins, unlike those of a user's columns.
+_KEY = ["_doc_key", "_copy_key"]
 _WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Joins go by id, and by a hash of the text where rows repeat an id."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
-    return docs.withColumns({"id": key, "copy": F.xxhash64(key, F.col(text_col))})
+    return docs.withColumns({"_doc_key": key, "_copy_key": F.xxhash64(key, F.col(text_col))})
 
 
 def _numbered_lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """(id, copy, at, line, words, one, two): lines with a word; ``at`` counts those, ``line`` all lines of the text, from 0."""
+    """(key, at, line, words, one, two): lines with a word; ``at`` counts those, ``line`` all lines of the text, from 0."""
     lines = F.transform(F.split(text_col, "\n", -1), lambda x, i: F.struct(i.alias("line"), x.alias("text")))
     lines = F.filter(lines, lambda x: x["text"].rlike(r"[^\x20\x09-\x0D]"))
     rows = docs.select(*_KEY, F.posexplode(lines).alias("at", "x"))
@@ -52,7 +53,7 @@ def _ranked(rows: DataFrame, by: list[str], scratch: Scratch, name: str) -> Data
 
 
 def repeated_windows(docs: DataFrame, scratch: Scratch, least_lines: int, least_words: int, text_col: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Lines, windows (id, copy, at, depth) that also start earlier and are long enough, and the depth reached by each document.
+    """Lines, windows (key, at, depth) that also start earlier and are long enough, and the depth reached by each document.
 
     Depths are 1, 2, 4, ... up to ``least_lines``, then its doubles until no interval is left. A window is long enough if it
     has ``least_lines`` lines, or at a smaller depth ``least_words`` words. Deeper windows lie within those of depth
@@ -103,7 +104,7 @@ def mark_repeated_lines(docs: DataFrame, least_lines: int = 3, least_words: int
     marks = marks.join(depths.groupBy(*_KEY).agg(F.max("depth").alias("_depth")), _KEY)
     marks = scratch.table("marks", marks)
     # Most documents have no mark; they stay where they are, the others are shuffled to theirs.
-    some, others = split_by_keys(docs, "copy", marks)
+    some, others = split_by_keys(docs, "_copy_key", marks)
     blank = [F.lit(None).cast(marks.schema[c].dataType).alias(c) for c in ("_removed", "_runs", "_depth")]
     out = some.join(marks, _KEY, "left").unionByName(others.select("*", *blank)).drop(*_KEY)
     return out.withColumn("_lines", F.split(text_col, "\n", -1))
