@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shared import Scratch
+from .text import frees_memory
 from .vocabulary import parsed, ranked, shipped
 
 #: Pieces that one task packs, at most about; a share of its sequences that is bounded by the number of gaps stays open.
@@ -61,6 +62,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int =
     raw = shipped(docs.sparkSession, vocabulary)
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @frees_memory
     def run(batches):
         encoder = parsed(raw.value, "ranked", ranked)
         for batch in batches:
@@ -95,6 +97,7 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int, id_col: str = "doc_id"
     tasks = max(1, -(-pieces.count() // pieces_a_task))
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pieces.schema)
 
+    @frees_memory
     def run(batches):
         from pyspark import TaskContext
 

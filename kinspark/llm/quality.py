@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch
-from .text import Words, chunks, marked, window_hashes
+from .text import Words, chunks, frees_memory, marked, window_hashes
 
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -40,6 +40,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     empty texts have no words and one (empty) line; repeated rows give repeated results. One pass, no shuffle."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             for part, data, offsets in chunks(batch, text_col):

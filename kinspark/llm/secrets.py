@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .text import frees_memory
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 #: A maximal run of 24 or more is what the plain run pattern finds once shorter matches are dropped.
@@ -107,6 +109,7 @@ def find_secrets(docs: DataFrame, rule: EntropyRule = EntropyRule(), id_col: str
     id_type = docs.schema[id_col].dataType.simpleString()
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             spans = [[{"kind": k, "start": a, "end": b} for k, a, b in secret_spans(t.as_py() or "", rule)] for t in batch.column(1)]
@@ -129,6 +132,7 @@ def redact_secrets(docs: DataFrame, rule: EntropyRule = EntropyRule(), mark: str
     """All rows and columns of ``docs``, the text without secrets. Null texts stay null."""
     at, schema = docs.columns.index(text_col), docs.schema
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             texts = [None if (t := x.as_py()) is None else redact(t, rule, mark) for x in batch.column(at)]

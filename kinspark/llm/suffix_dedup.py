@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .membership import may_hold, wide_bitmap
 from .shared import Scratch
-from .text import chunks, mix, prefix_sums, span_hashes
+from .text import chunks, frees_memory, mix, prefix_sums, span_hashes
 
 #: Bytes of the strings that anchor windows.
 GRAM = 32
@@ -245,6 +245,7 @@ def _with_texts(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
     per_document = rows.groupBy("id", "copy").agg(F.collect_list(F.struct("gram", "n", "at", "first", "last")).alias("stretches"))
     per_document = docs.select("id", "copy", "text").join(per_document, ["id", "copy"]).dropDuplicates(["id", "copy"])
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(7)]
@@ -286,6 +287,7 @@ def _sorted_part(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
 def _crowd_spans(texts: DataFrame, length: int) -> DataFrame:
     """Later windows of crowded buckets: one row for each window, its class by two hashes of its bytes."""
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):
@@ -319,6 +321,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     rows = docs.join(marks, ["id", "copy"], "left").select("id", "text", "spans.a", "spans.b")
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if texts else "")
 
+    @frees_memory
     def run(batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]

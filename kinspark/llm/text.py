@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time inside a batch; a longer document makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -22,6 +24,28 @@ _powers = np.ones(1, dtype=np.uint64)
 _inverse = np.ones(1, dtype=np.uint64)
 
 
+def frees_memory(run: Callable) -> Callable:
+    """At the end of a task, give memory back to the system: a worker stays alive while others run beside it."""
+
+    @wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return task
+
+
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are Python strings at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of a 64-bit hash: every input bit reaches every output bit."""
     x = x ^ (x >> np.uint64(30))

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import utf8
+from .text import frees_memory, utf8
 from .vocabulary import byte_symbols, parsed, shipped
 
 #: Pieces whose counts a worker keeps; past that it starts afresh, which costs time and changes nothing else.
@@ -91,6 +91,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int, id_col: str = "do
     raw = shipped(docs.sparkSession, vocabulary)
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @frees_memory
     def run(batches):
         counter = parsed(raw.value, "merges", MergeCounter)
         for batch in batches:

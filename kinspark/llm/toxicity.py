@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch
+from .text import frees_memory, pieces
 
 _WORD = re.compile(r"[^\W\d_]+").findall
 #: Lengths of word beginnings that are features beside the word; they carry stems over to words the sample lacks.
@@ -39,7 +40,7 @@ class FitParameters:
     is of grade 2 if at least this share of its words are toxic-leaning (``leaning`` times likelier in toxic documents)."""
 
     sample: int = 8000
-    features: int = 4096
+    features: int = 2048
     least_documents: int = 3
     least_g2: float = 10.83
     leaning: float = 8.0
@@ -168,6 +169,7 @@ def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitPar
     if len(sizes) < 2:
         return HARMLESS
 
+    @frees_memory
     def counts(batches):
         for batch in batches:
             at, word, n = [], [], []
@@ -187,15 +189,15 @@ def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitPar
     kept = spark.createDataFrame(chosen_words[["word"]].assign(at=range(len(chosen_words))))
     leaning = np.flatnonzero(chosen_words["ratio"].to_numpy() >= fit.leaning)
     per_document = words.where("word not like '%*'").groupBy("doc_id", "toxic").agg(F.sum("n").alias("length"))
-    triples = words.join(F.broadcast(kept), "word").select("doc_id", "at", "n").toPandas()
-    table = per_document.toPandas()
+    # As Arrow columns: 16 bytes for each kept feature of a sampled document, a few MB in all.
+    triples = words.join(F.broadcast(kept), "word").select("doc_id", F.col("at").cast("int").alias("at"), F.col("n").cast("int").alias("n")).toArrow()
+    table = per_document.orderBy("doc_id").toArrow()
     if not len(table):
         return HARMLESS
-    row_of = {d: k for k, d in enumerate(table["doc_id"])}
-    rows = triples["doc_id"].map(row_of).to_numpy(dtype=np.int64)
-    columns, n = triples["at"].to_numpy(dtype=np.int64), triples["n"].to_numpy(dtype=float)
-    share = np.bincount(rows, weights=n * np.isin(columns, leaning), minlength=len(table)) / np.maximum(1, table["length"].to_numpy())
-    toxic = table["toxic"].to_numpy(dtype=np.int64)
+    rows = np.searchsorted(table.column("doc_id").to_numpy(), triples.column("doc_id").to_numpy())
+    columns, n = triples.column("at").to_numpy(), triples.column("n").to_numpy().astype(float)
+    share = np.bincount(rows, weights=n * np.isin(columns, leaning), minlength=len(table)) / np.maximum(1, table.column("length").to_numpy())
+    toxic = table.column("toxic").to_numpy().astype(np.int64)
     grades = toxic * (1 + (share >= fit.severe_share))
     weights, thresholds = fit_cumulative_link(rows, columns, 1.0 + np.log(n), grades, len(chosen_words), 3, fit.penalty)
     return SeverityModel({w: float(x) for w, x in zip(chosen_words["word"], weights, strict=True) if abs(x) > 1e-6}, tuple(map(float, thresholds)))
@@ -207,8 +209,9 @@ def grade_severity(docs: DataFrame, model: SeverityModel, reject_at: float = 0.5
     Null and empty texts score zero on every word; repeated rows give repeated results; long texts are read whole."""
     id_type = docs.schema[id_col].dataType.simpleString()
 
+    @frees_memory
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             above = model.above(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(above[:, 0]), pa.array(above[:, 1]), pa.array(above.sum(axis=1)), pa.array(above[:, 0] >= reject_at)],
@@ -222,8 +225,9 @@ def drop_toxic(docs: DataFrame, model: SeverityModel, reject_at: float = 0.5, te
     """The rows of ``docs``, with all columns, that are not rejected."""
     at = docs.columns.index(text_col)
 
+    @frees_memory
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             yield batch.filter(pa.array(model.above(batch.column(at).to_pylist())[:, 0] < reject_at))
 
     return docs.mapInArrow(run, docs.schema)
