@@ -70,7 +70,7 @@ def read_lists(spark: SparkSession, path: str, column: str) -> DataFrame:
 def write_lists(lists: DataFrame, path: str, column: str) -> None:
     """One tab-separated row for each entity, by id, ids comma-joined and unquoted, one part file."""
     lines = lists.orderBy("s1_id").select(F.concat_ws("\t", "s1_id", F.array_join("ids", ",")).alias(f"source1_entity_id\t{column}"))
-    lines.coalesce(1).write.mode("overwrite").option("header", True).option("quote", "").option("delimiter", "\x01").option("emptyValue", "").csv(path)
+    lines.coalesce(1).write.mode("overwrite").option("header", True).option("quote", "").option("delimiter", "\x01").option("emptyValue", "").option("ignoreTrailingWhiteSpace", False).option("ignoreLeadingWhiteSpace", False).csv(path)
 
 
 def write_results(lists: DataFrame, path: str) -> None:
