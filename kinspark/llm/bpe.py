@@ -1,21 +1,28 @@
 """BPE encoding and decoding through a table of distinct words.
 
-Words are split inside Spark tasks and gathered by block (a stretch of one task's documents). A row (word, block, positions)
-goes to the task that owns the word; that task encodes each distinct word once. The ids go back to the block, where the
-positions put them in place. So no word travels once for each occurrence, and the commonest word has one row for each block."""
+Words are split inside Spark tasks and gathered by block (a stretch of one task's documents). The distinct words of a block are
+dealt into buckets by hash; a row (block, bucket, words) goes to the task that owns the bucket, which encodes each distinct word
+once and sends ids back to the block. The block's positions are numbers of its distinct words, compressed; they put ids in place.
+So each word travels once for each block and the commonest word is no heavier than others; what travels is smaller than the text."""
 
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import _parse_datatype_string
 
+from .text import frees_memory
 from .vocabulary import library, parsed, shipped
 
 #: Characters of text in a block, more only where one document is longer.
@@ -23,8 +30,11 @@ BLOCK_CHARS = 16 << 20
 #: White space as the vocabulary's normalizer has it (the Unicode property); str.split() takes U+001C to U+001F besides.
 _WHITE = re.compile("[\t-\r \x85\xa0  -     　]+")
 _SPLIT_ONLY = re.compile("[\x1c-\x1f]")
-#: Before the block number in the row that holds a block's documents; no word contains a space.
-_DOCUMENTS = " "
+#: Rows of words between a block and its buckets, and the row of the block itself.
+_ROW = [("block", pa.string()), ("bucket", pa.int32()), ("documents", pa.binary()), ("codes", pa.binary()), ("data", pa.binary())]
+_ROW_DDL = "block string, bucket int, documents binary, codes binary, data binary"
+#: Words handed to the tokenizers library at a time.
+_WORDS_AT_ONCE = 1_000
 
 
 def split_words(text: str) -> list[str]:
@@ -63,106 +73,141 @@ def _unpack(raw: bytes) -> np.ndarray:
     return np.add.reduceat((data & 0x7F).astype(np.int64) << shift, starts)
 
 
-def _block_rows(codes: dict[str, int], words: list[np.ndarray]) -> tuple[list[str], list[bytes]]:
-    """For each distinct word of a block, its positions as steps from one to the next."""
+def _squeeze(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(raw)
+
+
+def _expand(raw: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
+def _block_rows(name: str, ids: pa.Array, counts: list[int], codes: dict[str, int], words: list[np.ndarray], n_buckets: int) -> Iterator[dict]:
+    """The row of a block (documents, numbers of their words, bucket of each distinct word) and a row for each of its buckets.
+
+    Distinct words are numbered from the most frequent one, so that most numbers are short."""
     flat = np.concatenate(words) if words else np.zeros(0, np.int32)
-    order = np.argsort(flat, kind="stable")
-    ordered = flat[order]
-    first = np.searchsorted(ordered, np.arange(len(codes) + 1))
-    step = np.diff(order, prepend=0)
-    step[first[:-1]] = order[first[:-1]]
-    if len(step) and step.max() < 128:
-        raw, at = step.astype(np.uint8).tobytes(), first
-    else:
-        width = np.ones(len(step), dtype=np.int64)
-        for k in range(1, 9):
-            width += step >= 1 << 7 * k
-        raw, at = _pack(step), np.concatenate([[0], np.cumsum(width)])[first]
-    return list(codes), [raw[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-
-
-def _spread(batches: Iterator[pa.RecordBatch], id_type: pa.DataType, block_chars: int) -> Iterator[pa.RecordBatch]:
-    """Rows (word, block, positions), and for each block a row with its document ids and their word counts."""
+    distinct = list(codes)
+    order = np.argsort(-np.bincount(flat, minlength=len(distinct)), kind="stable")
+    number = np.empty(len(distinct), dtype=np.int32)
+    number[order] = np.arange(len(distinct), dtype=np.int32)
+    distinct = [distinct[k] for k in order.tolist()]
+    data = [w.encode() for w in distinct]
+    bucket = np.array([zlib.crc32(w) for w in data], dtype=np.int64) % n_buckets
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, pa.schema([("doc_id", ids.type), ("n", pa.int64())]), options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(pa.record_batch([ids, pa.array(counts, pa.int64())], ["doc_id", "n"]))
+    digest = zlib.crc32(b"\n".join(data))
+    block = f"{name}-{digest:08x}"  # a task that runs again on rows in another order makes other blocks, never mixed ones
+    yield {"block": block, "bucket": digest % n_buckets, "documents": sink.getvalue().to_pybytes(), "codes": _squeeze(_pack(number[flat])), "data": _squeeze(_pack(bucket))}
+    by_bucket = np.argsort(bucket, kind="stable")
+    ends = np.cumsum(np.bincount(bucket, minlength=1)).tolist()
+    at = 0
+    for k, end in enumerate(ends):
+        if end > at:
+            yield {"block": block, "bucket": k, "documents": None, "codes": None, "data": _squeeze(b"\n".join([data[i] for i in by_bucket[at:end].tolist()]))}
+        at = end
+
+
+def _spread(batches: Iterator[pa.RecordBatch], block_chars: int, n_buckets: int) -> Iterator[pa.RecordBatch]:
+    """The rows of blocks of at least one document and, but for that, at most ``block_chars`` characters."""
     from pyspark import TaskContext
 
-    made = TaskContext.get().partitionId() << 32
-    ids, counts, codes, words, chars = [], [], {}, [], 0
+    partition = TaskContext.get().partitionId()
+    schema = pa.schema(_ROW)
+    made, chars = 0, 0
+    ids, counts, codes, words = [], [], defaultdict(count().__next__), []
 
-    def rows() -> Iterator[pa.RecordBatch]:
-        keys, positions = _block_rows(codes, words)
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, pa.schema([("doc_id", id_type), ("n", pa.int64())])) as out:
-            out.write_batch(pa.record_batch([pa.array(ids, id_type), pa.array(counts, pa.int64())], ["doc_id", "n"]))
-        keys.append(f"{_DOCUMENTS}{made}")
-        positions.append(sink.getvalue().to_pybytes())
-        for a in range(0, len(keys), 20_000):
-            some = keys[a : a + 20_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), pa.array([made] * len(some), pa.int64()), pa.array(positions[a : a + 20_000], pa.binary())], ["word", "block", "positions"])
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_pylist(list(_block_rows(f"{partition}-{made}", pa.array(ids, id_type), counts, codes, words, n_buckets)), schema)
 
     for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+        id_type = batch.schema.field(0).type
+        for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
             text = text.as_py() or ""
             if ids and chars + len(text) > block_chars:
-                yield from rows()
+                yield rows()
                 made += 1
-                ids, counts, codes, words, chars = [], [], {}, [], 0
+                ids, counts, codes, words, chars = [], [], defaultdict(count().__next__), [], 0
             found = split_words(text)
-            code = codes.setdefault
-            words.append(np.array([code(w, len(codes)) for w in found], dtype=np.int32))
-            ids.append(doc_id)
+            words.append(np.fromiter(map(codes.__getitem__, found), dtype=np.int32, count=len(found)))
+            ids.append(doc_id.as_py())
             counts.append(len(found))
             chars += len(text)
     if ids:
-        yield from rows()
+        yield rows()
+
+
+def _ids_of_words(tokenizer, words: list[str]) -> list[tuple[int, ...]]:
+    """Ids of each word. ASCII words go to the library many at a time, a space apart: normalizers leave their lengths alone, so
+    where a token starts tells its word. Other words go one by one."""
+    plain, other = [w for w in words if w.isascii()], [w for w in words if not w.isascii()]
+    out: dict[str, tuple[int, ...]] = {}
+    for a in range(0, len(plain), _WORDS_AT_ONCE):
+        some = plain[a : a + _WORDS_AT_ONCE]
+        code = tokenizer.encode(" ".join(some), add_special_tokens=False)
+        ids, places = code.ids, np.array([start for start, _ in code.offsets], dtype=np.int64)
+        cuts = np.searchsorted(places, np.cumsum([0, *(len(w) + 1 for w in some)])).tolist()
+        out.update((w, tuple(ids[x:y])) for w, x, y in zip(some, cuts[:-1], cuts[1:], strict=True))
+    for a in range(0, len(other), _WORDS_AT_ONCE):
+        some = other[a : a + _WORDS_AT_ONCE]
+        out.update((w, tuple(code.ids)) for w, code in zip(some, tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True))
+    return [out[w] for w in words]
 
 
 def _encode(batches: Iterator[pa.RecordBatch], raw: bytes) -> Iterator[pa.RecordBatch]:
-    """Replace each word by its ids; a word that occurs in several rows of the task is encoded once."""
+    """Replace the words of a bucket by how many ids each has, and the ids; a word of several blocks is encoded once."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # the cores are Spark's to share out
     tokenizer = parsed(raw, "library", library)
-    seen: dict[str, bytes] = {}
+    seen: dict[str, tuple[int, ...]] = {}
+
+    def ids_of(data: bytes) -> bytes:
+        words = _expand(data).decode().split("\n")
+        new = [w for w in words if w not in seen]
+        seen.update(zip(new, _ids_of_words(tokenizer, new), strict=True))
+        found = [seen[w] for w in words]
+        flat = [len(words), *map(len, found)]
+        for ids in found:
+            flat += ids
+        return _squeeze(_pack(np.array(flat, dtype=np.int64)))
+
     for batch in batches:
-        words = batch.column(0).to_pylist()
-        new = [w for w in dict.fromkeys(words) if w not in seen and not w.startswith(_DOCUMENTS)]
-        for word, code in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            seen[word] = np.array(code.ids, dtype="<u4").tobytes()
-        ids = pa.array([seen.get(w) for w in words], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch.column(1), ids, batch.column(2)], ["block", "ids", "positions"])
-
-
-def _assemble(table: pa.Table) -> Iterator[tuple[object, list[bytes], list[int]]]:
-    """Each document of a block with the id bytes of the block's words and, in order, which of them it holds."""
-    ids, positions = table.column("ids"), table.column("positions")
-    documents, words = None, []
-    total = 0
-    for i, p in zip(ids, positions, strict=True):
-        i, p = i.as_py(), p.as_py()
-        if i is None:
-            with pa.ipc.open_stream(p) as stream:
-                documents = stream.read_all()
-            total = sum(documents.column("n").to_pylist())
-        else:
-            words.append((i, p))
-    place = np.zeros(total, dtype=np.int64)
-    for k, (_, p) in enumerate(words):
-        place[np.cumsum(_unpack(p))] = k
-    at = 0
-    kept = [i for i, _ in words]
-    for doc_id, n in zip(documents.column("doc_id").to_pylist(), documents.column("n").to_pylist(), strict=True):
-        yield doc_id, kept, place[at : at + n].tolist()
-        at += n
+        data = [d if known else ids_of(d) for known, d in zip(batch.column(2).is_valid().to_pylist(), batch.column(4).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(data, pa.binary())], schema=pa.schema(_ROW))
+
+
+def _assemble(table: pa.Table) -> tuple[pa.Table, list[list[int]], np.ndarray]:
+    """The documents of a block with their word counts, the ids of each distinct word, and the numbers of all words in order."""
+    rows = table.sort_by("bucket").to_pylist()
+    (own,) = [r for r in rows if r["documents"] is not None]
+    with pa.ipc.open_stream(own["documents"]) as stream:
+        documents = stream.read_all()
+    order = np.argsort(_unpack(_expand(own["data"])), kind="stable").tolist()
+    ids: list[list[int]] = []
+    for row in rows:
+        if row["documents"] is None:
+            flat = _unpack(_expand(row["data"]))
+            n = int(flat[0])
+            ends = np.cumsum(flat[: n + 1]).tolist()  # the first number counts the words: ends also skip their lengths but one
+            flat = flat[1:].tolist()
+            ids += [flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    if len(ids) != len(order):
+        raise RuntimeError(f"block {own['block']} has {len(order)} distinct words and the ids of {len(ids)}")
+    numbered: list[list[int]] = [[]] * len(ids)
+    for k, x in zip(order, ids, strict=True):
+        numbered[k] = x
+    return documents, numbered, _unpack(_expand(own["codes"]))
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """(block, ids, positions): the ids of each distinct word of a block with the word's positions; the input of ``documents``.
+    """Blocks with their positions and, by bucket, the ids of their distinct words; the input of ``documents``.
 
-    One shuffle, by word. ``vocabulary`` is the path of a tokenizer file whose words end at white space."""
+    One shuffle, by bucket of words; there are four buckets for each shuffle partition. ``vocabulary`` is the path of a tokenizer
+    file whose words end at white space."""
     spark = docs.sparkSession
     raw = shipped(spark, vocabulary)
-    source = docs.select(id_col, text_col)
-    id_field = docs.schema[id_col].dataType
-    id_type = to_arrow_type(id_field)
-    spread = source.mapInArrow(lambda batches: _spread(batches, id_type, block_chars), "word string, block long, positions binary")
-    return spread.repartition("word").mapInArrow(lambda batches: _encode(batches, raw.value), "block long, ids binary, positions binary")
+    n_buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spread = docs.select(id_col, text_col).mapInArrow(frees_memory(lambda batches: _spread(batches, block_chars, n_buckets)), _ROW_DDL)
+    return spread.repartition("bucket").mapInArrow(frees_memory(lambda batches: _encode(batches, raw.value)), _ROW_DDL)
 
 
 def documents(encoded: DataFrame, spark: SparkSession, vocabulary: str, id_type: str = "bigint", texts: bool = False) -> DataFrame:
@@ -178,17 +223,15 @@ def documents(encoded: DataFrame, spark: SparkSession, vocabulary: str, id_type:
         if tokenizer.decoder is not None:
             raise ValueError("only vocabularies without a decoder of their own are decoded here")
         pieces = parsed(raw.value, "pieces", lambda _: [tokenizer.id_to_token(i) or "" for i in range(tokenizer.get_vocab_size(with_added_tokens=True))])
+        found, each, places = _assemble(table)
+        sizes = [len(i) for i in each]
+        plain = [" ".join(map(str, i)).encode() for i in each]
+        shown = [" ".join([pieces[x] for x in i]).encode() for i in each]
         out: list[list] = [[] for _ in range(6)]
-        plain: list[bytes] = []
-        shown: list[bytes] = []
-        sizes: list[int] = []
-        for doc_id, kept, place in _assemble(table):
-            if not plain and kept:
-                each = [np.frombuffer(i, dtype="<u4").tolist() for i in kept]
-                sizes = [len(i) for i in each]
-                plain = [" ".join(map(str, i)).encode() for i in each]
-                shown = [" ".join([pieces[x] for x in i]).encode() for i in each]
-            some = [k for k in place if sizes[k]]
+        at = 0
+        for doc_id, n in zip(found.column("doc_id").to_pylist(), found.column("n").to_pylist(), strict=True):
+            some = [k for k in places[at : at + n].tolist() if sizes[k]]
+            at += n
             ids, text = b" ".join([plain[k] for k in some]), b" ".join([shown[k] for k in some])
             out[0].append(doc_id)
             out[1].append(sum([sizes[k] for k in some]))
