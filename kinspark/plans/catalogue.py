@@ -163,14 +163,13 @@ def _fuzzy(t: Tables) -> DataFrame:
     return t.sides.withColumn("x", found).select("s1_id", "cand_id", "x.*")
 
 
-def _trained(t: Tables) -> DataFrame:
-    """M1-M6 with few trees, over the pairs of the budget sample."""
+def _trained(t: Tables, cfg: Model = Model()) -> DataFrame:
+    """M1-M6: models of the pairs of the budget sample; every candidate pair gets a score."""
     from kinspark.operators import model
 
-    kept = sampling.budget_sample(t.queries, t.pairs, t.truth, BUDGET).select("s1_id")
-    pairs = t.pairs.join(kept, "s1_id", "left_semi")
-    rows = features.with_labels(features.pair_features(pairs, t.queries, t.others, _vectors(t)), t.truth).persist()
-    return model.out_of_fold(rows, Model(n_estimators=3, num_leaves=7, min_child_samples=5))
+    kept = sampling.budget_sample(t.queries, t.pairs, t.truth, cfg.max_train_pairs).select("s1_id")
+    rows = features.with_labels(features.pair_features(t.pairs, t.queries, t.others, _vectors(t)), t.truth).persist()
+    return model.score_all(rows, kept, cfg)
 
 
 def _best(t: Tables) -> DataFrame:
