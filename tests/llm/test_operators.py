@@ -107,6 +107,30 @@ def test_jaccard(docs, texts, small, monkeypatch):
     assert got.pop(-1) == (0, None) and got == want
 
 
+def brute_links(texts, size, percent):
+    """For each text the number of other sets that its set links with."""
+    sets = {}
+    for i, t in texts:
+        w = WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t))
+        sets[i] = frozenset([tuple(w)] if 0 < len(w) < size else [tuple(w[k : k + size]) for k in range(len(w) - size + 1)])
+    near = lambda a, b: a != b and 100 * len(a & b) >= percent * len(a | b)
+    found = {s: sum(near(s, x) for x in set(sets.values())) for s in set(sets.values())}
+    return {i: found[s] for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("small", [128, 2])
+def test_jaccard_counts_all_links(spark, small, monkeypatch):
+    """A group of texts that all link, with two copies, a chain, a pair and a loner; blocks smaller than the group and larger than the rest."""
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", small)
+    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    base = [f"v{k}" for k in range(200)]
+    group = [" ".join([*base[:k], f"y{k}", *base[k + 1 :]]) for k in range(40)]
+    texts = group + group[:2] + [t for _, t in chains(spark, 30)[1]] + ["a b c d e f g h i j k l m n o p q r s t u v w x y z", "a b c d e f g h i j k l m n o p q r s t u v w x y z0", "q r s t"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string")
+    assert {i: v[2] for i, v in ids_of(jaccard.near_duplicates(df)).items()} == brute_links(rows, 4, 85)
+
+
 def chains(spark, n=60):
     """Texts that differ by one more word each: near neighbours link, far ones don't."""
     base = [f"w{k}" for k in range(150)]
