@@ -4,13 +4,14 @@ import collections
 import hashlib
 import re
 import zlib
+from unittest import mock
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from kinspark.llm import bpe, jaccard, line_dedup, packing, quality, queries, secrets, suffix_dedup, token_counts, topk, toxicity
+from kinspark.llm import bpe, components, jaccard, line_dedup, packing, quality, queries, secrets, suffix_dedup, token_counts, topk, toxicity
 from kinspark.llm.vocabulary import library
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -145,6 +146,28 @@ def test_jaccard_chain(spark, small, monkeypatch):
     assert {i: v[:2] for i, v in ids_of(jaccard.near_duplicates(df)).items()} == brute_components(rows, 4, 85)
 
 
+def test_components_never_end_unfinished(monkeypatch):
+    """Edges whose state never repeats raise instead of giving labels."""
+
+    class Edges:
+        count = 0
+
+        def __getattr__(self, _):
+            return lambda *_: self
+
+        def first(self):
+            self.count += 1
+            return self.count
+
+    edges = Edges()
+    edges.table = lambda *_: edges
+    for name in ("_small_star", "_large_star"):
+        monkeypatch.setattr(components, name, lambda e: e)
+    monkeypatch.setattr(components, "F", mock.MagicMock())
+    with pytest.raises(RuntimeError):
+        components.connected_components(edges, edges, "x")
+
+
 def test_keep_one(docs, texts):
     want = brute_components([x for x in texts if x[0] >= 0], 4, 85)
     kept = {r.doc_id for r in jaccard.keep_one(docs, 4, 85).collect()} - {None}
