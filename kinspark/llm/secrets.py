@@ -26,12 +26,14 @@ class EntropyRule:
 
     ``window`` characters slide over each candidate; a candidate is reported when the largest window entropy (bits for each
     character) reaches the threshold of its character class: ``hex`` for strings of hexadecimal digits alone, ``mixed`` for
-    the wider class, which must hold a digit, a lower-case and an upper-case letter. ``allowed`` suppresses candidates by
+    those with a digit, a lower-case and an upper-case letter, ``lower`` and ``upper`` for digits with letters of one case. ``allowed`` suppresses candidates by
     full match; the defaults are unique identifiers, dates, and digit-only or sample strings."""
 
     window: int = 20
     hex_bits: float = 3.0
     mixed_bits: float = 3.9
+    lower_bits: float = 3.7
+    upper_bits: float = 3.7
     allowed: tuple[str, ...] = (
         r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
         r"[0-9_=+/-]+",
@@ -82,10 +84,15 @@ def entropy_spans(text: str, rule: EntropyRule) -> list[tuple[int, int]]:
             continue
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", s):
             least = rule.hex_bits
-        elif re.search(r"\d", s) and re.search("[a-z]", s) and re.search("[A-Z]", s):
+        elif not re.search("[0-9]", s):
+            continue
+        elif re.search("[a-z]", s) and re.search("[A-Z]", s):
             least = rule.mixed_bits
-        else:
+        elif rule._allow.fullmatch(s.strip("/_=+-")):
+            # Paths are slugs behind a separator.
             continue
+        else:
+            least = rule.lower_bits if re.search("[a-z]", s) else rule.upper_bits
         if peak_entropy(s, rule.window) >= least:
             out.append((m.start(), m.end()))
     return out
@@ -94,11 +101,11 @@ def entropy_spans(text: str, rule: EntropyRule) -> list[tuple[int, int]]:
 def secret_spans(text: str, rule: EntropyRule = EntropyRule()) -> list[tuple[str, int, int]]:
     """All spans (kind, start, end) in code points, by start and then kind as in KINDS.
 
-    An entropy span is added only where no base span overlaps it; base spans always stay."""
+    An entropy span is added where it reaches beyond every base span; base spans always stay."""
     base = [("assign", *m.span()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     base += [("access", *m.span()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     base += [("hex", *m.span()) for m in HEX.finditer(text)]
-    more = [("entropy", a, b) for a, b in entropy_spans(text, rule) if all(b <= x or a >= y for _, x, y in base)]
+    more = [("entropy", a, b) for a, b in entropy_spans(text, rule) if not any(x <= a and b <= y for _, x, y in base)]
     return sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 

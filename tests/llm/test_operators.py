@@ -272,6 +272,15 @@ def test_entropy():
     assert secrets.redact(f"a {key} b PASSWORD = 'hunter22'") == "a [SECRET] b [SECRET]'"
 
 
+def test_entropy_of_one_case_and_around_base_spans():
+    for key in ("k3x9q0vz7m2tb8w4ruy1pd6hs5gj0nfe3calo", "JBSWY3DPEHPK3PXPQ5TNZ2VK7LMA4GRC"):
+        assert secrets.secret_spans(f"here {key} there") == [("entropy", 5, 5 + len(key))]
+    key = "Zq7Tx_" + "0123456789abcdef01234567" + "_Kp9Vw3LmRs8YtBn2"
+    assert secrets.redact(f"a {key} b") == "a [SECRET] b"
+    assert [s[0] for s in secrets.secret_spans(f"a {key} b")] == ["entropy", "hex"]
+    assert secrets.secret_spans("the-well-known-state-of-the-art-2024 /usr/share/lib/python3") == []
+
+
 def test_quality_statistics(docs, texts):
     got = ids_of(quality.text_statistics(docs))
     for i, t in texts:
