@@ -220,6 +220,7 @@ QUERIES = {
     "nongreedy_decision": _query(lambda t: t.lists.select("s1_id", F.explode(decide.threshold_picks(F.col("scored"), 0.6, 0.5)).alias("cand_id"))),
     "threshold_grid": _query(lambda t: _rounded(decide.threshold_scores(_ids(t), t.lists, t.truth, DECISION), "macro_f05", "t_open", "t_add")),
     "threshold_grid_nongreedy": _query(lambda t: _rounded(decide.threshold_scores(_ids(t), t.lists, t.truth, Decision(greedy_per_entity=False, t_open_grid=(0.4, 0.7, 0.1))), "macro_f05", "t_open", "t_add")),
+    "threshold_grid_nongreedy_full": _query(lambda t: _rounded(decide.threshold_scores(_ids(t), t.lists, t.truth, Decision(greedy_per_entity=False)), "macro_f05", "t_open", "t_add")),
     "best_thresholds": _query(_best),
     "entity_f05": _query(lambda t: _rounded(decide.entity_f05(_ids(t), t.picks, t.truth), "f05")),
     "macro_f05": _query(lambda t: _rounded(decide.macro_f05(decide.entity_f05(_ids(t), t.picks, t.truth)), "macro_f05")),
@@ -297,6 +298,7 @@ FROM (SELECT s.s1_id, count(p.cand_id) AS n_pairs, any_value(s.n_true) > 0 AS po
     "nongreedy_decision": _with(*_NKP, _SCORED, select="SELECT s1_id, cand_id FROM scored JOIN top USING (s1_id) WHERE top >= 0.6 AND p >= 0.5"),
     "threshold_grid": _with(*_NKP, _SCORED, _TRUTH, _SIZES, _grid(DECISION.t_open_grid, True), select=_GRID_SELECT),
     "threshold_grid_nongreedy": _with(*_NKP, _SCORED, _TRUTH, _SIZES, _grid((0.4, 0.7, 0.1), False), select=_GRID_SELECT),
+    "threshold_grid_nongreedy_full": _with(*_NKP, _SCORED, _TRUTH, _SIZES, _grid(DECISION.t_open_grid, False), select=_GRID_SELECT),
     "best_thresholds": _with(*_NKP, _SCORED, _TRUTH, _SIZES, _grid(DECISION.t_open_grid, True), select=f"{_GRID_SELECT} ORDER BY round(grid.macro_f05, 12) DESC, grid.t_open, grid.t_add LIMIT 1"),
     "entity_f05": _with(*_NKP, _SCORED, _TRUTH, _COUNTS, select="SELECT s1_id, round(f05, 6) AS f05 FROM score"),
     "macro_f05": _with(*_NKP, _SCORED, _TRUTH, _COUNTS, select="SELECT round(avg(f05), 6) AS macro_f05 FROM score"),

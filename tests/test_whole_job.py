@@ -20,3 +20,7 @@ def test_pairs_beyond_the_budget_are_scored(spark):
     got = model.score_all(pairs, trained, Model(n_estimators=1, num_leaves=1, n_folds=2, calibrate=False, min_child_samples=1)).collect()
     assert sorted((r.s1_id, r.cand_id) for r in got) == sorted(r[:2] for r in rows)
     assert all(0 <= r.p <= 1 for r in got)
+
+
+def test_the_full_grid_of_all_picks_has_all_cells(spark, sf_dir):
+    assert catalogue.QUERIES["threshold_grid_nongreedy_full"](spark, sf_dir).count() == 726
