@@ -1,15 +1,16 @@
 """Byte-level deduplication: remove what a string of ``length`` bytes covers that also starts earlier.
 
-A suffix array of the whole corpus would take many times its size, so suffixes are first dealt into buckets by content. The
-anchor of a window of ``length`` bytes is the place of the least hash among the ``GRAM``-byte strings in it. Equal windows
-have equal anchors at equal offsets, so windows are compared inside the bucket of their anchor's string alone; a bucket whose
-string occurs once is done. Windows that share an anchor occurrence form one stretch (its context), and a context that equals an earlier one
-is covered whole. What is left are contexts that agree in part: their suffixes are sorted one bucket at a time by blockwise
-difference-cover sorting (``sorted_suffixes``), and neighbours with a common prefix of ``length`` bytes form a class, whose
+Blockwise construction of a suffix array, one bucket of suffixes at a time. The suffixes of the corpus are dealt into buckets by
+content: the anchor of a window of ``length`` bytes is the place of the least hash among the ``GRAM``-byte strings in it, so
+equal windows have equal anchors at equal offsets and meet in the bucket of the anchor's string. Windows that share an anchor
+occurrence form one stretch, their context. A bucket whose string occurs once is done. In the others contexts that are equal
+byte for byte are one; the suffixes of the rest are sorted block by block (``sorted_suffixes``), long ties by the precomputed
+ranks of a difference-cover sample, and neighbours that agree in ``length`` bytes, compared byte for byte, form a class, whose
 earliest member stays.
 
-Memory: a task holds the contexts of its own buckets; a bucket with more than ``CROWD`` differing contexts is dealt out by the
-hash of each window instead and aggregated by Spark."""
+Memory: a task sorts about ``PORTION`` bytes of contexts at a time, buckets whole. A bucket with more than ``CROWD`` contexts is
+first dealt out by a salt, and equal contexts of a part become one; if it is still crowded, its windows are dealt into two
+buckets by a longer string that they have in common, and so on down to single windows."""
 
 from __future__ import annotations
 
@@ -18,36 +19,53 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .membership import may_hold, wide_bitmap
 from .shared import Scratch
-from .text import chunks, frees_memory, mix, prefix_sums, span_hashes
+from .text import chunks, frees_memory, mix
 
 #: Bytes of the strings that anchor windows.
 GRAM = 32
-#: Differing contexts of a bucket up to which one task sorts them.
-CROWD = 20_000
-#: Text handled at a time.
-CHUNK = 1 << 20
-#: A difference cover modulo 31: the differences of its members give every residue.
-PERIOD, COVER = 31, (0, 1, 3, 8, 12, 18)
+#: Contexts of a bucket that go to one task as they are.
+CROWD = 8_192
+#: Bytes of contexts that a task sorts at a time, more only where one bucket is larger.
+PORTION = 3 << 20
+#: Bytes of text whose anchors are found at a time.
+SLICE = 1 << 20
+#: A difference cover modulo 7: the differences of its members give every residue.
+PERIOD, COVER = 7, (0, 1, 3)
+#: The least shift that brings two residues into the cover.
+_SHIFT = np.array([[next(c for c in range(PERIOD) if (r + c) % PERIOD in COVER and (s + c) % PERIOD in COVER) for s in range(PERIOD)] for r in range(PERIOD)])
 _NO_ID = -(2**63)
+_MIXERS = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
+#: Bits of a place within a slice, below the hash that orders anchors; the same for every text.
+_PLACE_BITS = np.uint64(24)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor occurrences: place, first and last start of the windows they own, and the prefix sums of the bytes."""
-    sums = prefix_sums(data)
-    n, reach = len(data) - gram + 1, length - gram + 1
-    starts = np.zeros(0, dtype=np.int64)
+def _gram_hashes(data: np.ndarray) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes from each place. It only chooses anchors and buckets; what meets is compared byte for byte."""
+    n = len(data) - GRAM + 1
+    padded = np.concatenate([data, np.zeros(16, dtype=np.uint8)])
+    words = np.empty(len(data), dtype=np.uint64)
+    for k in range(8):
+        part = words[k::8]
+        part[:] = padded[k : k + 8 * len(part)].view("<u8")
+    out = words[:n] * _MIXERS[0]
+    for k in range(1, GRAM // 8):
+        out += words[8 * k : 8 * k + n] * _MIXERS[k]
+        out ^= out >> np.uint64(29)
+    return out * _MIXERS[1]
+
+
+def _slice_anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n, reach = len(data) - GRAM + 1, length - GRAM + 1
     if n < reach:
-        return starts, starts, starts, sums
-    bits = max(1, int(n).bit_length())
-    key = mix_grams(sums, n, gram)
-    key &= np.uint64(2**64 - 2**bits)
-    key |= np.arange(n, dtype=np.uint64)
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, none
+    hashes = _gram_hashes(data)
+    key = hashes >> _PLACE_BITS << _PLACE_BITS | np.arange(n, dtype=np.uint64)
     # Least key of every ``reach`` neighbours: the least to the end of a block and that from the start of the next.
     blocks = -(-n // reach)
     padded = np.full(blocks * reach, np.iinfo(np.uint64).max, dtype=np.uint64)
@@ -56,7 +74,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
     ahead = np.minimum.accumulate(grid, axis=1).ravel()
     back = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     count = n - reach + 1
-    owner = (np.minimum(back[:count], ahead[reach - 1 : reach - 1 + count]) & np.uint64(2**bits - 1)).astype(np.int64)
+    owner = (np.minimum(back[:count], ahead[reach - 1 : reach - 1 + count]) & ((np.uint64(1) << _PLACE_BITS) - np.uint64(1))).astype(np.int64)
     whole = np.ones(count, dtype=bool)
     for end in offsets[1:-1]:
         whole[max(0, end - length + 1) : end] = False
@@ -66,57 +84,69 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int = GRAM
     new[1:] = (owner[1:] != owner[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(starts)) - 1
-    return owner[first], starts[first], starts[last], sums
+    place = owner[first]
+    return place, starts[first], starts[last], mix(hashes[place]).view(np.int64)
 
 
-def mix_grams(sums: np.ndarray, n: int, gram: int) -> np.ndarray:
-    """Hashes of all strings of ``gram`` bytes, cheaply: the span's sum brought to a common power."""
-    from . import text
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor occurrences in some documents: place, first and last start of the windows they own, and the hash of their string.
 
-    return (sums[gram : gram + n] - sums[:n]) * text._inverse[:n]
+    A document longer than ``SLICE`` is cut into slices that overlap by less than a window; each window lies in one of them."""
+    if len(data) <= 2 * SLICE or len(offsets) > 2:
+        return _slice_anchors(data, offsets, length)
+    parts = []
+    for a in range(0, len(data) - length + 1, SLICE):
+        piece = data[a : a + SLICE + length - 1]
+        place, first, last, gram = _slice_anchors(piece, np.array([0, len(piece)]), length)
+        parts.append((place + a, first + a, last + a, gram))
+    return tuple(np.concatenate(c) for c in zip(*parts, strict=True))
 
 
-def sorted_suffixes(data: np.ndarray, places: np.ndarray, length: int) -> Iterator[np.ndarray]:
-    """Blocks of ``places`` in the order of the suffixes there, at least to ``length`` bytes.
-
-    Precomputed: ranks of the suffixes that begin at the cover sample (residues COVER modulo PERIOD), by doubling in strides of
-    PERIOD up to ``length`` bytes and more. A block holds the suffixes of one residue and one leading byte; it is sorted by the
-    bytes before the next sample place, and ties go by the rank of that place. A block at a time is in memory besides the
-    ranks. (Suffixes of different residues are never compared: callers lay out contexts so that equal windows share one.)"""
-    size = len(data)
-    padded = np.concatenate([data, np.zeros(2 * PERIOD + 64, dtype=np.uint8)])
-    sample = np.flatnonzero(np.isin(np.arange(size + PERIOD) % PERIOD, COVER))
-    rank = np.zeros(len(padded) + PERIOD, dtype=np.int64)
-    keys = [_word(padded, sample + k) for k in (0, 8, 16)] + [_word(padded, sample + 24) >> np.uint64(8)]
-    span = PERIOD
-    order = np.lexsort(keys[::-1])
-    changed = np.zeros(len(sample), dtype=bool)
-    for k in keys:
-        changed[1:] |= k[order[1:]] != k[order[:-1]]
+def _sample_ranks(data: np.ndarray, padded: np.ndarray, length: int) -> np.ndarray:
+    """Ranks (from 1) of the suffixes at the places whose residue is in the cover, by ``length`` bytes and more; 0 elsewhere.
+
+    Names of PERIOD bytes first, then pairs of names in doubling strides."""
+    sample = np.flatnonzero(np.isin(np.arange(len(data) + PERIOD) % PERIOD, COVER))
+    rank = np.zeros(len(data) + 2 * PERIOD, dtype=np.int64)
+    names, span = (_word(padded, sample) >> np.uint64(8)).astype(np.int64), PERIOD
     while True:
+        order = np.argsort(names, kind="stable")
+        found = names[order]
+        ranked = np.cumsum(np.concatenate([[1], found[1:] != found[:-1]])) if len(found) else found
         named = np.empty(len(sample), dtype=np.int64)
-        named[order] = np.cumsum(changed)
-        rank[sample] = named + 1
-        if span >= length or named.max(initial=0) == len(sample) - 1:
-            break
-        far = rank[np.minimum(sample + span, len(rank) - 1)]
-        order = np.lexsort((far, named))
-        changed = np.zeros(len(sample), dtype=bool)
-        changed[1:] = (named[order[1:]] != named[order[:-1]]) | (far[order[1:]] != far[order[:-1]])
+        named[order] = ranked
+        rank[sample] = named
+        if span >= length or len(sample) == 0 or ranked[-1] == len(sample):
+            return rank
+        names = named * np.int64(len(sample) + 2) + rank[np.minimum(sample + span, len(rank) - 1)]
         span *= 2
-    residue = places % PERIOD
-    shift = np.array([min((c - r) % PERIOD for c in COVER) for r in range(PERIOD)])
-    lead = residue.astype(np.int64) << 8 | data[places]
-    by_bucket = np.argsort(lead, kind="stable")
-    edges = np.flatnonzero(np.diff(lead[by_bucket], prepend=-1))
+
+
+def sorted_suffixes(data: np.ndarray, places: np.ndarray, length: int) -> Iterator[np.ndarray]:
+    """Blocks of ``places`` in the order of the suffixes there, to ``length`` bytes; a block has the suffixes of one leading byte.
+
+    A block is sorted by its first PERIOD bytes. Suffixes that tie there are compared by the ranks of the cover sample at the
+    least shift that brings both into the cover: each suffix counts the smaller ones of every residue, and the sum is its place.
+    Besides the ranks (three in seven bytes) only one block is in memory."""
+    padded = np.concatenate([data, np.zeros(2 * PERIOD + 16, dtype=np.uint8)])
+    rank = _sample_ranks(data, padded, length)
+    top = np.int64(rank.max(initial=0) + 1)
+    lead = data[places]
+    by_lead = np.argsort(lead, kind="stable")
+    edges = np.flatnonzero(np.diff(lead[by_lead].astype(np.int64), prepend=-1))
     for a, b in zip(edges, np.append(edges[1:], len(places)), strict=True):
-        block = places[by_bucket[a:b]]
-        s = int(shift[block[0] % PERIOD])
-        keys = [rank[block + s]]
-        for k in range((s - 1) // 8 * 8, -1, -8) if s else ():
-            word = _word(padded, block + k)
-            keys.append(word >> np.uint64(8 * (8 - min(8, s - k))))
-        yield block[np.lexsort(keys)]
+        block = places[by_lead[a:b]]
+        _, group = np.unique(_word(padded, block) >> np.uint64(8), return_inverse=True)
+        group = group.astype(np.int64) * top
+        members = [np.flatnonzero(block % PERIOD == r) for r in range(PERIOD)]
+        smaller = np.zeros(len(block), dtype=np.int64)
+        for r in range(PERIOD):
+            for s in range(PERIOD):
+                if len(members[r]) and len(members[s]):
+                    shift = _SHIFT[r, s]
+                    others = np.sort(group[members[s]] + rank[block[members[s]] + shift])
+                    smaller[members[r]] += np.searchsorted(others, group[members[r]] + rank[block[members[r]] + shift])
+        yield block[np.argsort(smaller, kind="stable")]
 
 
 def _word(padded: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -136,41 +166,32 @@ def _equal(data: np.ndarray, a: np.ndarray, b: np.ndarray, length: int) -> np.nd
     return out
 
 
-def later_windows(contexts: list[bytes], before: np.ndarray, bucket: np.ndarray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Windows of contexts that occur earlier: context and start within it.
-
-    ``before`` holds the bytes of each context before its anchor, ``bucket`` the anchor's hash, ``order`` the rank of the context's place in the
-    corpus. Contexts are laid out with their anchors on multiples of PERIOD."""
-    sizes = np.array([len(c) for c in contexts], dtype=np.int64)
-    slots = -(-(sizes + PERIOD) // PERIOD) * PERIOD
-    base = np.concatenate([[0], np.cumsum(slots)])
-    at = base[:-1] + (-before) % PERIOD
-    data = np.zeros(base[-1], dtype=np.uint8)
-    flat = np.frombuffer(b"".join(contexts), dtype=np.uint8)
-    owner = np.repeat(np.arange(len(contexts)), sizes)
-    ends = np.concatenate([[0], np.cumsum(sizes)])
-    data[at[owner] + np.arange(len(flat)) - ends[owner]] = flat
-    windows = np.maximum(0, sizes - length + 1)
-    context = np.repeat(np.arange(len(contexts)), windows)
-    start = np.arange(windows.sum()) - np.repeat(np.concatenate([[0], np.cumsum(windows)[:-1]]), windows)
-    whose = np.full(len(data), -1, dtype=np.int32)
-    whose[at[context] + start] = context
-    out_context, out_start = [], []
-    for block in sorted_suffixes(data, at[context] + start, length):
+def later_windows(contexts: pa.BinaryArray, order: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of contexts that occur earlier: context and start within it. ``order`` has the rank of each context's place in the corpus."""
+    contexts = contexts.cast(pa.large_binary())
+    ends = np.frombuffer(contexts.buffers()[1], dtype=np.int64)[contexts.offset : contexts.offset + len(contexts) + 1]
+    data = np.frombuffer(contexts.buffers()[2], dtype=np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    windows = np.maximum(0, np.diff(ends) - length + 1)
+    context = np.repeat(np.arange(len(contexts), dtype=np.int32), windows)
+    start = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+    whose = np.full(len(data) + 1, -1, dtype=np.int32)
+    whose[ends[context] + start] = context
+    out_context, out_start = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for block in sorted_suffixes(data, ends[context] + start, length):
         same = np.zeros(len(block), dtype=bool)
         if len(block) > 1:
-            same[1:] = _equal(data, block[1:], block[:-1], length)
+            near = np.flatnonzero((data[block[1:] + length - 1] == data[block[:-1] + length - 1]) & (data[block[1:] + length // 2] == data[block[:-1] + length // 2])) + 1
+            same[near] = _equal(data, block[near], block[near - 1], length)
         name = np.cumsum(~same)
         own = whose[block]
-        # Equal windows of two contexts in one bucket stand at the same offset; in another bucket they can't be equal.
-        by = np.lexsort((block - at[own], order[own], name))
+        by = np.lexsort((block, order[own], name))
         first = np.ones(len(by), dtype=bool)
         first[1:] = name[by[1:]] != name[by[:-1]]
         later = by[~first]
         out_context.append(own[later])
-        out_start.append(block[later] - at[own[later]])
-    none = np.zeros(0, dtype=np.int64)
-    return (np.concatenate(out_context), np.concatenate(out_start)) if out_context else (none, none)
+        out_start.append(block[later] - ends[own[later]])
+    return np.concatenate(out_context), np.concatenate(out_start)
 
 
 def _intervals(context: np.ndarray, start: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,126 +205,197 @@ def _intervals(context: np.ndarray, start: np.ndarray, length: int) -> tuple[np.
     return (context[first], start[first], start[last] + length) if len(by) else (context, start, start)
 
 
-def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, kept: Broadcast | None) -> Iterator[pa.RecordBatch]:
-    """Anchors of whole texts: their string's hash; with ``kept``, for those in the filter, the context's hash and place too."""
+def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int, places: bool) -> Iterator[pa.RecordBatch]:
+    """Anchors of whole texts: their string's hash; with ``places`` the document and the context too, packed into one number."""
     for batch in batches:
-        for part, data, offsets in chunks(batch, "text", CHUNK):
-            place, first, last, sums = anchors(data, offsets, length)
-            gram = span_hashes(sums, place, place + GRAM).view(np.int64)
-            if kept is None:
+        for part, data, offsets in chunks(batch, "text", SLICE):
+            place, first, last, gram = anchors(data, offsets, length)
+            if not places:
                 yield pa.RecordBatch.from_arrays([pa.array(gram)], ["gram"])
                 continue
-            seen = may_hold(kept.value, gram)
-            place, first, last, gram = place[seen], first[seen], last[seen], gram[seen]
-            context = mix(span_hashes(sums, first, last + length) + mix((place - first).astype(np.uint64)))
             document = np.searchsorted(offsets, place, side="right") - 1
-            begin = offsets[document]
             which = pa.array(document)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram), pa.array(context.view(np.int64)), part.column(0).take(which), part.column(1).take(which), pa.array(place - begin), pa.array(first - begin), pa.array(last - begin)],
-                ["gram", "context", "id", "copy", "at", "first", "last"],
-            )
+            packed = place - offsets[document] << 16 | place - first << 8 | place - last
+            yield pa.RecordBatch.from_arrays([pa.array(gram), part.column(0).take(which), part.column(1).take(which), pa.array(packed)], ["gram", "id", "copy", "packed"])
 
 
-def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
-    """(id, copy, from, to): byte spans covered by strings of ``length`` bytes that also start earlier; spans may overlap.
+def _cut(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """The bytes of each context, cut out of its document: key, n, id, copy, first, hi, lo, bytes."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            raw = np.frombuffer(batch.column(2)[k].as_py().encode(), dtype=np.uint8)
+            found = batch.column(3)[k].values
+            gram, n, packed = (found.field(c).to_numpy() for c in ("gram", "n", "packed"))
+            for a in range(0, len(gram), 1 << 14):
+                code = packed[a : a + (1 << 14)]
+                hi, lo = code >> 8 & 0xFF, code & 0xFF
+                first = (code >> 16) - hi
+                size = hi - lo + length
+                ends = np.concatenate([[0], np.cumsum(size)])
+                cut = raw[np.repeat(first - ends[:-1], size) + np.arange(ends[-1])]
+                body = pa.Array.from_buffers(pa.binary(), len(code), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(cut)])
+                one = lambda c: pa.array(np.full(len(code), batch.column(c)[k].as_py(), dtype=np.int64))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays([pa.array(gram[a : a + (1 << 14)]), pa.array(n[a : a + (1 << 14)]), one(0), one(1), pa.array(first), pa.array(hi.astype(np.int32)), pa.array(lo.astype(np.int32)), body], _CONTEXT)
+
+
+_CONTEXT = ["key", "n", "id", "copy", "first", "hi", "lo", "bytes"]
+_CONTEXT_DDL = "key long, n long, id long, copy long, first long, hi int, lo int, bytes binary"
+
+
+def _portions(batches: Iterator[pa.RecordBatch], by: str) -> Iterator[pa.Table]:
+    """Rows that come sorted by ``by``, in tables of about ``PORTION`` bytes that keep equal values together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(by).to_numpy()
+        if size >= PORTION:
+            # A portion ends where the first value after it begins.
+            last = held[-1].column(by)[-1].as_py()
+            cut = int(np.searchsorted(keys != last, True)) if keys[-1] != last else len(keys)
+            held.append(batch.slice(0, cut))
+            if cut < len(keys):
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+                batch = batch.slice(cut)
+            else:
+                size += batch.nbytes
+                continue
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _distinct(table: pa.Table, group: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rank of each row's place; and the rows that are the first of equal bytes in their ``group``, and the other rows."""
+    order = np.empty(len(table), dtype=np.int64)
+    order[np.lexsort(tuple(table.column(c).to_numpy() for c in ("first", "copy", "id")))] = np.arange(len(table))
+    code = pc.dictionary_encode(table.column("bytes").combine_chunks()).indices.to_numpy()
+    key = table.column(group).to_numpy()
+    by = np.lexsort((order, code, key))
+    new = np.ones(len(by), dtype=bool)
+    new[1:] = (code[by[1:]] != code[by[:-1]]) | (key[by[1:]] != key[by[:-1]])
+    return order, np.sort(by[new]), by[~new]
 
-    ``docs`` has id, copy and text."""
-    grams = docs.select("id", "copy", "text").mapInArrow(lambda b: _anchor_rows(b, length, None), "gram long")
-    repeated = scratch.table("repeated", grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
-    kept = wide_bitmap(repeated)
-    schema = "gram long, context long, id long, copy long, at long, first long, last long"
-    found = docs.select("id", "copy", "text").mapInArrow(lambda b: _anchor_rows(b, length, kept), schema)
-    found = scratch.table("anchors", found)
-    place = F.struct("id", "copy", "at")
-    stretch = found.groupBy("gram", "context").agg(F.min(place).alias("least"), F.min(F.struct("id", "copy", "at", "first", "last")).alias("row"))
-    stretch = scratch.table("contexts", stretch)
-    whole = found.join(stretch.select("gram", "context", "least"), ["gram", "context"]).where(place != F.col("least"))
-    whole = whole.select("id", "copy", F.col("first").alias("from"), (F.col("last") + length).alias("to"))
-    whole = scratch.table("whole", whole)
-    scratch.drop("anchors")
-    scratch.sweep()
-    # Contexts that differ around one anchor string: only the first place of each is left to compare.
-    per_gram = stretch.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1")
-    rows = stretch.join(per_gram, "gram").select("gram", "n", "row.*")
-    rows = scratch.table("contested", rows)
-    scratch.drop("contexts")
-    texts = _with_texts(docs, rows, length)
-    texts = scratch.table("contested-texts", texts)
-    scratch.drop("contested")
-    scratch.sweep()
-    part = texts.where(F.col("n") <= CROWD).repartition("gram").mapInArrow(lambda b: _sorted_part(b, length), "id long, copy long, from long, to long")
-    crowd = _crowd_spans(texts.where(F.col("n") > CROWD), length)
-    spans = scratch.table("spans", part.unionByName(crowd))
-    scratch.drop("contested-texts")
-    scratch.sweep()
-    return whole.unionByName(spans)
 
+def _spans(table: pa.Table, rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> list[pa.Array]:
+    """Spans of documents from places within contexts."""
+    i, c, first = (table.column(x).to_numpy()[rows] for x in ("id", "copy", "first"))
+    return [pa.array(i), pa.array(c), pa.array(first + low), pa.array(first + high)]
 
-def _with_texts(docs: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """The bytes of each contested context, cut out of its document."""
-    per_document = rows.groupBy("id", "copy").agg(F.collect_list(F.struct("gram", "n", "at", "first", "last")).alias("stretches"))
-    per_document = docs.select("id", "copy", "text").join(per_document, ["id", "copy"]).dropDuplicates(["id", "copy"])
 
-    @frees_memory
-    def run(batches):
-        for batch in batches:
-            out: list[list] = [[] for _ in range(7)]
-            for k, (text, stretches) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
-                raw = text.as_py().encode()
-                for s in stretches.as_py():
-                    for column, value in zip(out, (k, s["gram"], s["n"], s["at"], s["first"], s["last"], raw[s["first"] : s["last"] + length]), strict=True):
-                        column.append(value)
-            which = pa.array(out[0], pa.int64())
-            columns = [batch.column(0).take(which), batch.column(1).take(which), *(pa.array(c, pa.int64()) for c in out[1:6]), pa.array(out[6], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "copy", "gram", "n", "at", "first", "last", "bytes"])
+def _lengths(table: pa.Table) -> np.ndarray:
+    return pc.binary_length(table.column("bytes")).to_numpy().astype(np.int64)
 
-    return per_document.select("id", "copy", "text", "stretches").mapInArrow(run, "id long, copy long, gram long, n long, at long, first long, last long, bytes binary")
+
+_SPAN, _SPAN_DDL = ["id", "copy", "from", "to"], "id long, copy long, from long, to long"
 
 
 def _sorted_part(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Later windows of all buckets of a task, about 3 MB of contexts at a time, buckets kept whole."""
-    rows = [b for b in batches if b.num_rows]
-    if not rows:
-        return
-    table = pa.Table.from_batches(rows)
-    table = table.sort_by("gram")
-    gram = table.column("gram").to_numpy()
-    sizes = np.cumsum(table.column("last").to_numpy() - table.column("first").to_numpy() + length)
-    done = 0
-    while done < len(gram):
-        end = int(np.searchsorted(sizes, sizes[done] + (3 << 20)))
-        end = int(np.searchsorted(gram, gram[min(end, len(gram) - 1)], side="right"))
-        some = table.slice(done, end - done)
-        done = end
-        i, c, at, first = (some.column(k).to_numpy() for k in ("id", "copy", "at", "first"))
-        order = np.empty(len(i), dtype=np.int64)
-        order[np.lexsort((at, c, i))] = np.arange(len(i))
-        context, start = later_windows(some.column("bytes").to_pylist(), at - first, some.column("gram").to_numpy(), order, length)
-        context, low, high = _intervals(context, start, length)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (i[context], c[context], first[context] + low, first[context] + high)], ["id", "copy", "from", "to"])
-
-
-def _crowd_spans(texts: DataFrame, length: int) -> DataFrame:
-    """Later windows of crowded buckets: one row for each window, its class by two hashes of its bytes."""
+    """Spans of a task's buckets that occur earlier; rows come sorted by key."""
+    for table in _portions(batches, "key"):
+        order, kept, later = _distinct(table, "key")
+        if len(later):
+            yield pa.RecordBatch.from_arrays(_spans(table, later, np.zeros(len(later), np.int64), _lengths(table)[later]), _SPAN)
+        # A bucket with one distinct context is done.
+        key = table.column("key").to_numpy()[kept]
+        _, bucket, n = np.unique(key, return_inverse=True, return_counts=True)
+        kept = kept[n[bucket] > 1]
+        if len(kept):
+            some = table.take(pa.array(kept))
+            context, start = later_windows(some.column("bytes").combine_chunks(), order[kept], length)
+            context, low, high = _intervals(context, start, length)
+            yield pa.RecordBatch.from_arrays(_spans(some, context, low, high), _SPAN)
+
+
+def _collapsed_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for equal contexts of a part of a crowded bucket, the others as spans (from, to); rows come sorted by part."""
+    for table in _portions(batches, "part"):
+        _, kept, later = _distinct(table, "part")
+        rows = np.concatenate([kept, later])
+        gone = np.concatenate([np.zeros(len(kept), bool), np.ones(len(later), bool)])
+        some = table.take(pa.array(rows)).drop_columns(["part"])
+        end = np.where(gone, some.column("first").to_numpy() + _lengths(some), -1)
+        some = some.set_column(some.column_names.index("bytes"), "bytes", pc.if_else(pa.array(gone), pa.scalar(None, pa.binary()), some.column("bytes")))
+        yield from some.append_column("end", pa.array(end)).combine_chunks().to_batches()
+
+
+def _salted(n: Column) -> Column:
+    """A number for each part of a crowded bucket, with about CROWD rows a part."""
+    return F.xxhash64("key", F.pmod(F.xxhash64("id", "copy", "first", "n"), F.ceil(n / F.lit(CROWD)).cast("long")))
+
+
+def _crowded_spans(hot: DataFrame, length: int, scratch: Scratch) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Rows for the sorted path and spans, from buckets of more than ``CROWD`` contexts.
+
+    ``a`` and ``b`` bound how far before the anchor the windows of a bucket start. All windows of a bucket hold the bytes from
+    the anchor less a to the anchor less b plus length; halving the range of starts makes that string longer, until it is the window."""
+    ready, spans, k = [], [], 0
+    hot = hot.withColumns({"a": F.lit(0), "b": F.lit(length - GRAM)})
+    while not hot.isEmpty():
+        parts = hot.withColumn("part", _salted(F.col("n")))
+        columns = [*_CONTEXT, "a", "b"]
+        dealt = parts.select(*columns, "part").repartition("part").sortWithinPartitions("part")
+        found = scratch.table(f"collapsed-{k}", dealt.mapInArrow(frees_memory(_collapsed_part), f"{_CONTEXT_DDL}, a int, b int, end long"))
+        spans.append(found.where("end >= 0").select("id", "copy", F.col("first").alias("from"), F.col("end").alias("to")))
+        left = found.where("end < 0").drop("end", "n")
+        counts = left.groupBy("key").agg(F.count("*").alias("n"))
+        left = scratch.table(f"left-{k}", left.join(counts, "key").select(columns))
+        ready.append(left.where(F.col("n") <= CROWD).select(_CONTEXT))
+        hot = scratch.table(f"hot-{k}", _halved(left.where(F.col("n") > CROWD), length))
+        # Those that come out of the halves small need no salt.
+        k += 1
+        ready.append(hot.where(F.col("n") <= CROWD).select(_CONTEXT))
+        hot = hot.where(F.col("n") > CROWD)
+    return ready, spans
+
+
+def _halved(rows: DataFrame, length: int) -> DataFrame:
+    """The rows in the two halves of their ranges of starts, keyed by what the windows there have in common, counted anew."""
+    middle = F.floor((F.col("a") + F.col("b")) / 2).cast("int")
+    half = F.when(F.col("a") == F.col("b"), F.array(F.struct("a", "b"))).otherwise(F.array(F.struct(F.col("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("b"))))
+    out = rows.withColumn("half", F.explode(half)).withColumns({"a": F.col("half.a"), "b": F.col("half.b")}).where("hi >= a and lo <= b")
+    common = F.substring("bytes", F.col("hi") - F.col("a") + 1, F.lit(length) - (F.col("b") - F.col("a")))
+    low, high = F.greatest("lo", "a"), F.least("hi", "b")
+    cut = F.substring("bytes", F.col("hi") - high + 1, high - low + F.lit(length))
+    out = out.select(F.xxhash64("key", "a", "b", common).alias("key"), "id", "copy", (F.col("first") + F.col("hi") - high).alias("first"), high.alias("hi"), low.alias("lo"), cut.alias("bytes"), "a", "b")
+    return out.join(out.groupBy("key").agg(F.count("*").alias("n")), "key").select(*_CONTEXT, "a", "b")
 
-    @frees_memory
-    def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                data = np.frombuffer(batch.column(2)[k].as_py(), dtype=np.uint8)
-                sums = prefix_sums(data)
-                start = np.arange(len(data) - length + 1)
-                one = span_hashes(sums, start, start + length)
-                two = span_hashes(prefix_sums(255 - data), start, start + length)
-                n = len(start)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, batch.column(0)[k].as_py())), pa.array(np.full(n, batch.column(1)[k].as_py())), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(start + batch.column(3)[k].as_py())], ["id", "copy", "one", "two", "start"])
-
-    rows = texts.select("id", "copy", "bytes", "first").mapInArrow(run, "id long, copy long, one long, two long, start long")
-    place = F.struct("id", "copy", "start")
-    first = rows.groupBy("one", "two").agg(F.min(place).alias("least"))
-    later = rows.join(first, ["one", "two"]).where(place != F.col("least"))
-    return later.select("id", "copy", F.col("start").alias("from"), (F.col("start") + length).alias("to"))
+
+def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
+    """(id, copy, from, to): byte spans covered by strings of ``length`` bytes that also start earlier; spans may overlap.
+
+    ``docs`` has id, copy and text. Null and empty texts and those under ``length`` bytes have no spans; rows that agree in id and
+    copy are one document; an empty table gives no rows. ``length`` is from 39 to 287, so that a context fits its packed number."""
+    if not GRAM + PERIOD <= length <= GRAM + 255:
+        raise ValueError(f"length must be from {GRAM + PERIOD} to {GRAM + 255}")
+    grams = docs.select("id", "copy", "text").mapInArrow(frees_memory(lambda b: _anchor_rows(b, length, False)), "gram long")
+    repeated = scratch.table("repeated", grams.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1"))
+    scratch.sweep()
+    found = docs.select("id", "copy", "text").mapInArrow(frees_memory(lambda b: _anchor_rows(b, length, True)), "gram long, id long, copy long, packed long")
+    found = scratch.table("found", found.join(repeated.hint("merge"), "gram"))
+    scratch.drop("repeated")
+    scratch.sweep()
+    # A set, as rows that repeat id and text are one document.
+    lists = found.groupBy("id", "copy").agg(F.collect_set(F.struct("gram", "n", "packed")).alias("found"))
+    texts = docs.select("id", "copy", "text").join(lists, ["id", "copy"]).dropDuplicates(["id", "copy"]).select("id", "copy", "text", "found")
+    contexts = scratch.table("contexts", texts.mapInArrow(frees_memory(lambda b: _cut(b, length)), _CONTEXT_DDL))
+    scratch.drop("found")
+    scratch.sweep()
+    ready, spans = _crowded_spans(contexts.where(F.col("n") > CROWD), length, scratch)
+    rows = contexts.where(F.col("n") <= CROWD)
+    for more in ready:
+        rows = rows.unionByName(more)
+    dealt = rows.select(_CONTEXT).repartition("key").sortWithinPartitions("key")
+    out = dealt.mapInArrow(frees_memory(lambda b: _sorted_part(b, length)), _SPAN_DDL)
+    for more in spans:
+        out = out.unionByName(more)
+    out = scratch.table("spans", out)
+    scratch.drop("contexts")
+    scratch.sweep()
+    return out
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:

@@ -17,11 +17,13 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
-_rng = np.random.Generator(np.random.PCG64(20240607))
-_CODE = _rng.integers(0, 2**64, 256, dtype=np.uint64)
-_BASE = int(_rng.integers(2**62, 2**64, dtype=np.uint64)) | 5
-_powers = np.ones(1, dtype=np.uint64)
-_inverse = np.ones(1, dtype=np.uint64)
+#: Two primes under 2**31 with a base each: spans are hashed as polynomials modulo both.
+_PRIMES = (2**31 - 1, 2**31 - 19)
+_BASES = tuple(int(b) for b in np.random.Generator(np.random.PCG64(20240607)).integers(2**20, 2**31 - 20, 2))
+#: Bytes that are summed before a remainder is taken: 2**8 * 2**31 * 2**24 stays under 2**64.
+_SUMMED = 1 << 24
+_CODES = np.arange(1, 257, dtype=np.uint64)
+_powers: dict[int, np.ndarray] = {}
 
 
 def frees_memory(run: Callable) -> Callable:
@@ -55,17 +57,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _grow(n: int) -> None:
-    global _powers, _inverse
-    if len(_powers) >= n:
-        return
-    n = max(n, CHUNK_BYTES + 1)
-    both = []
-    for base in (_BASE, pow(_BASE, -1, 2**64)):
-        steps = np.full(n, base, dtype=np.uint64)
-        steps[0] = 1
-        both.append(np.multiply.accumulate(steps))
-    _powers, _inverse = both
+def _powers_of(base: int, prime: int, n: int) -> np.ndarray:
+    """base**k modulo prime for k < n; kept, and doubled when more are needed."""
+    out = _powers.get(base, np.ones(1, dtype=np.uint64))
+    while len(out) < n:
+        step = np.uint64(pow(base, len(out), prime))
+        out = np.concatenate([out, out * step % np.uint64(prime)])
+    if len(out) <= 2 * CHUNK_BYTES:
+        _powers[base] = out
+    return out
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -108,20 +108,34 @@ class Words:
         self.firsts = np.concatenate([[0], np.cumsum(self.counts)])
 
     def hashes(self) -> np.ndarray:
-        return span_hashes(prefix_sums(self.data), self.starts, self.ends)
+        return span_hashes(self.data, self.starts, self.ends)
 
 
-def prefix_sums(data: np.ndarray) -> np.ndarray:
-    """Sums of byte codes times powers of a base, from which the hash of any span follows."""
-    _grow(len(data) + 1)
+def _prefix_sums(data: np.ndarray, powers: np.ndarray, prime: int) -> np.ndarray:
+    """Sums of (byte + 1) * powers, right modulo ``prime``."""
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_CODE[data] * _powers[: len(data)], out=sums[1:])
+    for k in range(0, len(data), _SUMMED):
+        part = _CODES[data[k : k + _SUMMED]]
+        part *= powers[k : k + len(part)]
+        own = sums[k + 1 : k + 1 + len(part)]
+        np.cumsum(part, out=own)
+        if k:
+            own += sums[k] % np.uint64(prime)
     return sums
 
 
-def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of byte spans that depend on the bytes alone."""
-    return mix((sums[ends] - sums[starts]) * _inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans that depend on the bytes alone: 62 bits of remainders modulo two primes, and the length, mixed.
+
+    (Modulo a power of two, strings such as Thue and Morse's would meet whatever the base.)"""
+    out = (ends - starts).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, (base, prime) in enumerate(zip(_BASES, _PRIMES, strict=True)):
+        p = np.uint64(prime)
+        sums = _prefix_sums(data, _powers_of(base, prime, len(data)), prime)
+        value = (sums[ends] - sums[starts]) % p if len(data) <= _SUMMED else (sums[ends] % p + p - sums[starts] % p) % p
+        value = value * _powers_of(pow(base, -1, prime), prime, len(data) + 1)[starts] % p
+        out = mix(out + (value << np.uint64(31 * shift)))
+    return out
 
 
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -213,7 +213,7 @@ def brute_bytes(texts, length):
     return out
 
 
-@pytest.mark.parametrize("crowd", [20_000, 3])
+@pytest.mark.parametrize("crowd", [8_192, 3])
 def test_suffix_dedup(docs, texts, crowd, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     assert ids_of(suffix_dedup.remove_repeats(docs)) == brute_bytes(texts, 100)
@@ -224,9 +224,46 @@ def test_sorted_suffixes():
     data[1000:1400] = data[200:600]
     places = np.arange(0, 2700)
     raw = data.tobytes()
-    for block in suffix_dedup.sorted_suffixes(data, places, 100):
-        cut = [raw[p : p + 100] for p in block]
-        assert cut == sorted(cut)
+    found = [raw[p : p + 100] for block in suffix_dedup.sorted_suffixes(data, places, 100) for p in block]
+    assert found == sorted(found) and len(found) == len(places) > len(set(found))
+
+
+def test_difference_cover_decides_long_ties(monkeypatch):
+    """Without the ranks of the sample, suffixes that share their first bytes stay unsorted."""
+    monkeypatch.setattr(suffix_dedup, "_sample_ranks", lambda data, *_: np.zeros(len(data) + 20, dtype=np.int64))
+    data = np.tile(np.arange(97, 107), 60).astype(np.uint8)
+    data[300] = 122
+    raw = data.tobytes()
+    found = [raw[p : p + 100] for block in suffix_dedup.sorted_suffixes(data, np.arange(500), 100) for p in block]
+    assert found != sorted(found)
+
+
+def test_anchors_of_a_text_longer_than_a_slice(monkeypatch):
+    data = np.random.default_rng(2).integers(97, 123, 60_000).astype(np.uint8)
+    data[40_000:41_000] = data[5_000:6_000]
+    whole = suffix_dedup.anchors(data, np.array([0, len(data)]), 100)
+    monkeypatch.setattr(suffix_dedup, "SLICE", 7_000)
+    cut = suffix_dedup.anchors(data, np.array([0, len(data)]), 100)
+    for parts in (whole, cut):
+        covered = np.concatenate([np.arange(a, b + 1) for a, b in zip(parts[1], parts[2], strict=True)])
+        assert covered.tolist() == list(range(len(data) - 99))
+    assert set(whole[0]) == set(cut[0])
+
+
+def test_crowded_bucket_at_the_real_size(spark):
+    """More contexts than CROWD around one string, equal and different, give what brute force gives."""
+    n = suffix_dedup.CROWD + 900
+    core = "the one string that very many of the documents hold"
+    rng = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    side = lambda k: "".join(letters[rng.integers(0, 27, k)])
+    fixed = [(side(30), side(30)) for _ in range(40)]
+    rows = []
+    for i in range(n):
+        a, b = fixed[int(rng.integers(40))] if i % 3 else (side(30), side(30))
+        rows.append((i, a + core + b))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert ids_of(suffix_dedup.remove_repeats(df)) == brute_bytes(rows, 100)
 
 
 def test_topk(spark, sf_dir):
@@ -247,8 +284,45 @@ def test_no_random_access_stops_early():
     rng = np.random.default_rng(0)
     x = rng.integers(-20, 20, (2000, 3))
     x[:5] = 400
-    left = topk.no_random_access(x, np.arange(2000), np.array([[1, 2, 3]]), np.array([-1]), 5)
-    assert set(range(5)) <= set(left[0].tolist()) and len(left[0]) < 2000
+    at, rows, reached = topk.no_random_access(x, np.arange(2000), np.array([[1, 2, 3]]), np.array([-1]), 5)
+    assert sorted(rows) == [0, 1, 2, 3, 4] and not at.any() and reached[0] == 250
+
+
+def test_shared_bounds_stop_reading_of_the_shipped_embeddings():
+    """With the k-th best score of all rows known, most queries stop before the lists end, and half of the lists rules most rows out."""
+    import pandas as pd
+
+    frame = pd.read_parquet("/root/testdata/sf0.1/embeddings.parquet")
+    x, ids = np.floor(256 * np.stack(frame.embedding).astype(float)).astype(np.int64), frame.vec_id.to_numpy()
+    q = np.flatnonzero(ids % 50 == 0)
+    scores = x[q] @ x.T
+    scores[np.arange(len(q)), q] = np.iinfo(np.int64).min
+    kth = np.sort(scores, axis=1)[:, -5]
+    at, rows, reached = topk.no_random_access(x, ids, x[q], ids[q], 5, kth.astype(float))
+    assert (reached < len(x)).mean() > 0.5
+    for k in range(len(q)):
+        assert set(np.flatnonzero(scores[k] > kth[k])) <= set(rows[at == k]) and len(rows[at == k]) <= 8
+    lower, upper = topk.SortedLists(x).bounds(x[q].astype(float), len(x) // 2)
+    assert (lower <= x[q] @ x.T + 1e-6).all() and (upper >= x[q] @ x.T - 1e-6).all()
+    _, upper = topk.SortedLists(x).bounds(x[q].astype(float), 7 * len(x) // 8)
+    assert (upper >= kth[:, None]).mean() < 0.05
+
+
+@pytest.mark.parametrize("blocks", [(4096, 256), (64, 4)])
+def test_topk_in_blocks(spark, blocks, monkeypatch):
+    """Many small blocks, two dimensions, ties, and fewer rows than k."""
+    monkeypatch.setattr(topk, "VECTOR_BLOCK", blocks[0])
+    monkeypatch.setattr(topk, "QUERY_BLOCK", blocks[1])
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.integers(-3, 4, 5).tolist()) for i in range(400)] + [(1000 + i, [i, 1]) for i in (0, 50, 100)]
+    df = spark.createDataFrame(rows, "vec_id long, components array<long>").repartition(5)
+    got = {tuple(r) for r in topk.top_k(df, F.expr("vec_id % 50 = 0"), 5).collect()}
+    want = set()
+    for i, v in rows:
+        if i % 50 == 0:
+            best = sorted((-int(np.dot(v, w)), j) for j, w in rows if j != i and len(w) == len(v))[:5]
+            want |= {(i, k + 1, j, -s) for k, (s, j) in enumerate(best)}
+    assert got == want
 
 
 def brute_secrets(t):
