@@ -33,10 +33,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = line_dedup.mark_repeated_lines(_documents(spark, sf_dir))
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     return marked.select(
-        "doc_id",
-        number(F.size(F.coalesce("_lines", F.array().cast("array<string>")))).alias("n_lines"),
-        number(F.size(F.coalesce("_removed", F.array().cast("array<int>")))).alias("n_removed"),
-        number(F.col("_runs")).alias("n_runs"),
+        F.col("row.doc_id").alias("doc_id"),
+        number(F.size(F.coalesce("lines", F.array().cast("array<string>")))).alias("n_lines"),
+        number(F.size(F.coalesce("removed", F.array().cast("array<int>")))).alias("n_removed"),
+        number(F.col("n_runs")).alias("n_runs"),
+        number(F.col("longest")).alias("longest_run"),
         F.sha2(F.coalesce(line_dedup.kept_text(), F.lit("")), 256).alias("kept_sha256"),
     )
 
@@ -83,7 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _OP2 = r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(text, chr(10)) AS ls FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS x, unnest(generate_series(0, len(ls) - 1)) AS line FROM d WHERE text <> ''),
 n AS (SELECT doc_id, x, line, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words,
              row_number() OVER (PARTITION BY doc_id ORDER BY line) AS pos
@@ -98,9 +99,17 @@ hit AS (
 gone AS (SELECT DISTINCT n.doc_id, n.pos, n.line FROM hit JOIN n ON n.doc_id = hit.doc_id AND n.pos >= hit.pos AND n.pos < hit.pos + hit.depth),
 mark AS (SELECT doc_id, count(*) AS n_removed, count(*) FILTER (first) AS n_runs
          FROM (SELECT *, coalesce(pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) > 1, true) AS first FROM gone) GROUP BY doc_id),
+deep AS (
+  SELECT 1 AS depth, doc_id, pos, words, g, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) > 1 AS later FROM (SELECT doc_id, pos, words, dense_rank() OVER (ORDER BY x) AS g FROM n)
+  UNION ALL
+  SELECT depth, doc_id, pos, words, g, row_number() OVER (PARTITION BY g ORDER BY doc_id, pos) > 1 FROM (
+    SELECT *, count(*) OVER (PARTITION BY g) AS k FROM (
+      SELECT r.depth + 1 AS depth, r.doc_id, r.pos, CASE WHEN r.depth = 1 THEN r.words + n.words ELSE r.words END AS words, dense_rank() OVER (ORDER BY r.g, n.x) AS g
+      FROM deep r JOIN n ON n.doc_id = r.doc_id AND n.pos = r.pos + r.depth)) WHERE k > 1),
+longest AS (SELECT doc_id, max(depth) AS longest_run FROM deep WHERE later AND (depth >= 3 OR words >= 50) GROUP BY doc_id),
 kept AS (SELECT l.doc_id, string_agg(l.x, chr(10) ORDER BY l.line) AS t FROM l ANTI JOIN gone ON gone.doc_id = l.doc_id AND gone.line = l.line GROUP BY l.doc_id)
-SELECT d.doc_id, coalesce(len(d.ls), 0) AS n_lines, coalesce(mark.n_removed, 0) AS n_removed, coalesce(mark.n_runs, 0) AS n_runs, sha256(coalesce(kept.t, '')) AS kept_sha256
-FROM d LEFT JOIN mark ON mark.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
+SELECT d.doc_id, coalesce(len(d.ls), 0) AS n_lines, coalesce(mark.n_removed, 0) AS n_removed, coalesce(mark.n_runs, 0) AS n_runs, coalesce(longest.longest_run, 0) AS longest_run, sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN longest ON longest.doc_id = d.doc_id LEFT JOIN mark ON mark.doc_id = d.doc_id LEFT JOIN kept ON kept.doc_id = d.doc_id
 """
 
 _OP3 = """

@@ -8,7 +8,7 @@ from kinspark.llm import bpe, jaccard, line_dedup, packing, quality, queries, se
 
 LONG = "alpha beta gamma delta " * 400
 ROWS = [(1, "one two three four five\nsix\nseven\neight"), (1, "one two three four five\nsix\nseven\neight"), (1, "other text with the same id"), (2, None), (None, "no id here at all"), (None, None), (3, ""), (4, " \n\n"), (5, LONG), (5, LONG), (6, "one two three four five\nsix\nseven\neight")]
-EXTRA = ("id", "copy", "node", "n", "shingle", "word", "block", "rank", "spans", "at", "key", "toxic", "_lines_", "prefix")
+EXTRA = ("id", "copy", "node", "n", "shingle", "word", "block", "rank", "spans", "at", "key", "toxic", "_lines_", "prefix", "_lines", "_removed", "_runs", "_depth", "_bucket", "_seen", "_bits", "_doc_key", "_kept_id", "row", "doc", "lines", "removed", "kept", "part", "x", "source", "number")
 
 OPERATORS = {
     "tokens": lambda d, t: token_counts.count_tokens(d, queries.BYTE_BPE, 512),

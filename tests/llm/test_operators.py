@@ -175,28 +175,61 @@ def test_keep_one(docs, texts):
 
 
 def brute_lines(texts, lines=3, words=50):
+    """Maximal runs that also start earlier, by comparing every place with every earlier one through a table of runs."""
     seqs = [[(k, x) for k, x in enumerate(t.split("\n")) if WORD.search(x)] for _, t in texts]
-    gone = [set() for _ in texts]
-    for d in range(1, lines + 1):
-        seen = set()
-        for n, q in enumerate(seqs):
-            for a in range(len(q) - d + 1):
-                w = tuple(x for _, x in q[a : a + d])
-                if d == lines or sum(len(WORD.findall(x)) for x in w) >= words:
-                    if w in seen:
-                        gone[n] |= set(range(a, a + d))
-                    seen.add(w)
+    gone, longest = [set() for _ in texts], [0] * len(texts)
+    places = collections.defaultdict(list)
+    for n, q in enumerate(seqs):
+        for a in range(len(q)):
+            best = 0
+            for m, b in places[q[a][1]]:
+                d = 0
+                while a + d < len(q) and b + d < len(seqs[m]) and q[a + d][1] == seqs[m][b + d][1]:
+                    d += 1
+                best = max(best, d)
+            places[q[a][1]].append((n, a))
+            if best >= lines or sum(len(WORD.findall(x)) for _, x in q[a : a + best]) >= words:
+                gone[n] |= set(range(a, a + best))
+                longest[n] = max(longest[n], best)
     out = {}
-    for (i, t), q, g in zip(texts, seqs, gone, strict=True):
+    for (i, t), q, g, d in zip(texts, seqs, gone, longest, strict=True):
         away = {q[a][0] for a in g}
-        out[i] = (len(away), sum(a - 1 not in g for a in g), "\n".join(x for k, x in enumerate(t.split("\n")) if k not in away))
+        out[i] = (len(away), sum(a - 1 not in g for a in g), d, "\n".join(x for k, x in enumerate(t.split("\n")) if k not in away))
     return out
 
 
+def lines_found(docs):
+    cols = [F.greatest(F.lit(0), F.size(F.coalesce("removed", F.array().cast("array<int>")))), F.coalesce("n_runs", F.lit(0)), F.coalesce("longest", F.lit(0)), F.coalesce(line_dedup.kept_text(), F.lit(""))]
+    return ids_of(line_dedup.mark_repeated_lines(docs).select("row.doc_id", *cols))
+
+
 def test_line_dedup(docs, texts):
-    cols = [F.coalesce(F.size("_removed"), F.lit(0)), F.coalesce("_runs", F.lit(0)), F.coalesce(line_dedup.kept_text(), F.lit(""))]
-    got = ids_of(line_dedup.mark_repeated_lines(docs).select("doc_id", *cols))
-    assert {i: (max(0, v[0]), *v[1:]) for i, v in got.items()} == brute_lines(texts)
+    assert lines_found(docs) == brute_lines(texts)
+
+
+def test_line_dedup_of_random_runs(spark):
+    """Few distinct lines, so runs of every length overlap within documents and between them."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(60):
+        if i % 4 == 3:
+            _, t = rows[int(rng.integers(len(rows)))]
+            parts = t.split("\n")
+            a = int(rng.integers(0, len(parts)))
+            rows.append((i, "\n".join([*parts[a : a + int(rng.integers(1, 30))], "own line " + str(i), *parts[: int(rng.integers(0, 20))]])))
+        else:
+            rows.append((i, "\n".join("line " + "word " * (30 * int(k == 3)) + str(k) for k in rng.integers(0, 12, int(rng.integers(1, 40))))))
+    assert lines_found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute_lines(rows)
+
+
+def test_deep_rounds_decide_what_goes(spark, monkeypatch):
+    """A copied text of 40 lines is one maximal run; without the deeper rounds most of it would stay."""
+    text = "\n".join(f"line number {k}" for k in range(40))
+    df = spark.createDataFrame([(1, text), (2, "x\n" + text + "\ny")], "doc_id long, text string")
+    assert lines_found(df)[2] == (40, 1, 40, "x\ny")
+    whole = line_dedup._doubled
+    monkeypatch.setattr(line_dedup, "_doubled", lambda *a: whole(*a)[:2])
+    assert lines_found(df)[2][0] < 10
 
 
 def brute_bytes(texts, length):
