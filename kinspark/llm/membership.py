@@ -4,17 +4,11 @@ A bitmap only filters: rows that pass it still meet their join. The fuller it is
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: 2 MB in a broadcast join, whatever the number of keys; SQL functions only.
 BITS = 1 << 24
-#: 8 MB in a broadcast to Python tasks, whatever the number of keys.
-WIDE_BITS = 1 << 26
-_PIECES = 2048
 
 
 def _place(key: Column) -> Column:
@@ -31,26 +25,3 @@ def split_by_keys(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame
     found = rows.withColumn("_bucket", F.bitmap_bucket_number(at)).join(F.broadcast(bitmap), "_bucket", "left").withColumn("_seen", has)
     drop = ["_bucket", "_bits", "_seen"]
     return found.where("_seen").drop(*drop), found.where("not _seen").drop(*drop)
-
-
-def wide_bitmap(keys: DataFrame) -> Broadcast:
-    """The hashes in the one column (long) of ``keys``, gathered in 2048 pieces of 4 KB."""
-    width = WIDE_BITS // _PIECES
-
-    def piece(table: pa.Table) -> pa.Table:
-        bits = np.zeros(width, dtype=np.uint8)
-        bits[table.column("bit").to_numpy() % width] = 1
-        return pa.table([table.column("piece").slice(0, 1), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())], ["piece", "bits"])
-
-    bit = F.col(keys.columns[0]).bitwiseAND(F.lit(WIDE_BITS - 1))
-    rows = keys.select(bit.alias("bit")).distinct().withColumn("piece", F.floor(F.col("bit") / F.lit(width)).cast("int"))
-    bitmap = bytearray(WIDE_BITS // 8)
-    for r in rows.groupBy("piece").applyInArrow(piece, "piece int, bits binary").collect():
-        bitmap[r["piece"] * width // 8 : (r["piece"] + 1) * width // 8] = r["bits"]
-    return keys.sparkSession.sparkContext.broadcast(bytes(bitmap))
-
-
-def may_hold(bitmap: bytes, hashes: np.ndarray) -> np.ndarray:
-    """Which of the hashes (int64) may be in the bitmap."""
-    bit = hashes & (WIDE_BITS - 1)
-    return np.frombuffer(bitmap, dtype=np.uint8)[bit >> 3] >> (bit & 7).astype(np.uint8) & 1 == 1
