@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import Scratch
@@ -290,66 +290,58 @@ def _lengths(table: pa.Table) -> np.ndarray:
     return pc.binary_length(table.column("bytes")).to_numpy().astype(np.int64)
 
 
-_SPAN, _SPAN_DDL = ["id", "copy", "from", "to"], "id long, copy long, from long, to long"
+def _dealt_part(batches: Iterator[pa.RecordBatch], length: int, crowd: int) -> Iterator[pa.RecordBatch]:
+    """Spans (first to end) of a task's buckets that occur earlier; rows come sorted by part.
 
+    A whole bucket is sorted. A part of a crowded one gives one row (its end is -1) for equal contexts, the others as spans."""
+    kind = {"key": pa.int64(), "id": pa.int64(), "copy": pa.int64(), "first": pa.int64(), "hi": pa.int32(), "lo": pa.int32(), "bytes": pa.binary(), "a": pa.int32(), "b": pa.int32(), "end": pa.int64()}
 
-def _sorted_part(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Spans of a task's buckets that occur earlier; rows come sorted by key."""
-    for table in _portions(batches, "key"):
-        order, kept, later = _distinct(table, "key")
+    def spans(i: pa.Array, c: pa.Array, low: pa.Array, high: pa.Array) -> pa.RecordBatch:
+        found = {"id": i, "copy": c, "first": low, "end": high}
+        return pa.RecordBatch.from_arrays([found[x] if x in found else pa.nulls(len(i), t) for x, t in kind.items()], list(kind))
+
+    for table in _portions(batches, "part"):
+        order, kept, later = _distinct(table, "part")
         if len(later):
-            yield pa.RecordBatch.from_arrays(_spans(table, later, np.zeros(len(later), np.int64), _lengths(table)[later]), _SPAN)
+            yield spans(*_spans(table, later, np.zeros(len(later), np.int64), _lengths(table)[later]))
+        crowded = table.column("n").to_numpy()[kept] > crowd
+        if crowded.any():
+            left = table.take(pa.array(kept[crowded])).append_column("end", pa.array(np.full(int(crowded.sum()), -1)))
+            yield from left.select(list(kind)).cast(pa.schema(list(kind.items()))).combine_chunks().to_batches()
+        kept = kept[~crowded]
         # A bucket with one distinct context is done.
-        key = table.column("key").to_numpy()[kept]
-        _, bucket, n = np.unique(key, return_inverse=True, return_counts=True)
+        _, bucket, n = np.unique(table.column("part").to_numpy()[kept], return_inverse=True, return_counts=True)
         kept = kept[n[bucket] > 1]
         if len(kept):
             some = table.take(pa.array(kept))
             context, start = later_windows(some.column("bytes").combine_chunks(), order[kept], length)
             context, low, high = _intervals(context, start, length)
-            yield pa.RecordBatch.from_arrays(_spans(some, context, low, high), _SPAN)
+            yield spans(*_spans(some, context, low, high))
 
 
-def _collapsed_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for equal contexts of a part of a crowded bucket, the others as spans (from, to); rows come sorted by part."""
-    for table in _portions(batches, "part"):
-        _, kept, later = _distinct(table, "part")
-        rows = np.concatenate([kept, later])
-        gone = np.concatenate([np.zeros(len(kept), bool), np.ones(len(later), bool)])
-        some = table.take(pa.array(rows)).drop_columns(["part"])
-        end = np.where(gone, some.column("first").to_numpy() + _lengths(some), -1)
-        some = some.set_column(some.column_names.index("bytes"), "bytes", pc.if_else(pa.array(gone), pa.scalar(None, pa.binary()), some.column("bytes")))
-        yield from some.append_column("end", pa.array(end)).combine_chunks().to_batches()
-
-
-def _salted(n: Column) -> Column:
-    """A number for each part of a crowded bucket, with about CROWD rows a part."""
-    return F.xxhash64("key", F.pmod(F.xxhash64("id", "copy", "first", "n"), F.ceil(n / F.lit(CROWD)).cast("long")))
-
-
-def _crowded_spans(hot: DataFrame, length: int, scratch: Scratch) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Rows for the sorted path and spans, from buckets of more than ``CROWD`` contexts.
-
-    ``a`` and ``b`` bound how far before the anchor the windows of a bucket start. All windows of a bucket hold the bytes from
-    the anchor less a to the anchor less b plus length; halving the range of starts makes that string longer, until it is the window."""
-    ready, spans, k = [], [], 0
-    hot = hot.withColumns({"a": F.lit(0), "b": F.lit(length - GRAM)})
-    while not hot.isEmpty():
-        parts = hot.withColumn("part", _salted(F.col("n")))
-        columns = [*_CONTEXT, "a", "b"]
-        dealt = parts.select(*columns, "part").repartition("part").sortWithinPartitions("part")
-        found = scratch.table(f"collapsed-{k}", dealt.mapInArrow(frees_memory(_collapsed_part), f"{_CONTEXT_DDL}, a int, b int, end long"))
-        spans.append(found.where("end >= 0").select("id", "copy", F.col("first").alias("from"), F.col("end").alias("to")))
-        left = found.where("end < 0").drop("end", "n")
-        counts = left.groupBy("key").agg(F.count("*").alias("n"))
-        left = scratch.table(f"left-{k}", left.join(counts, "key").select(columns))
-        ready.append(left.where(F.col("n") <= CROWD).select(_CONTEXT))
-        hot = scratch.table(f"hot-{k}", _halved(left.where(F.col("n") > CROWD), length))
-        # Those that come out of the halves small need no salt.
+def _dealt_spans(rows: DataFrame, length: int, scratch: Scratch) -> DataFrame:
+    """The spans of all buckets. ``rows`` has the contexts with n, the size of their bucket.
+
+    Round by round: whole buckets are sorted, crowded ones dealt out by a salt to parts of about CROWD rows. What is left of
+    the parts is counted anew; buckets still crowded are halved. There ``a`` and ``b`` bound how far before the anchor the windows of a
+    bucket start. All its windows hold the bytes from the anchor less a to the anchor less b plus length; halving the range of
+    starts makes that string longer, until it is the window."""
+    salt = F.pmod(F.xxhash64("id", "copy", "first", "n"), F.ceil(F.col("n") / F.lit(CROWD)).cast("long"))
+    part = F.when(F.col("n") <= CROWD, F.col("key")).otherwise(F.xxhash64("key", salt)).alias("part")
+    columns, spans, k = [*_CONTEXT, "a", "b"], None, 0
+    rows, crowd = rows.withColumns({"a": F.lit(0), "b": F.lit(length - GRAM)}), CROWD
+    schema = "key long, id long, copy long, first long, hi int, lo int, bytes binary, a int, b int, end long"
+    while True:
+        dealt = rows.select(*columns, part).repartition("part").sortWithinPartitions("part")
+        found = scratch.table(f"dealt-{k}", dealt.mapInArrow(frees_memory(lambda b: _dealt_part(b, length, crowd)), schema))
+        more = found.where("end >= 0").select("id", "copy", F.col("first").alias("from"), F.col("end").alias("to"))
+        spans = more if spans is None else spans.unionByName(more)
+        left = found.where("end < 0").drop("end")
+        if left.isEmpty():
+            return spans
+        left = scratch.table(f"left-{k}", left.join(left.groupBy("key").agg(F.count("*").alias("n")), "key").select(columns))
+        rows = left.where(F.col("n") <= CROWD).unionByName(_halved(left.where(F.col("n") > CROWD), length))
         k += 1
-        ready.append(hot.where(F.col("n") <= CROWD).select(_CONTEXT))
-        hot = hot.where(F.col("n") > CROWD)
-    return ready, spans
 
 
 def _halved(rows: DataFrame, length: int) -> DataFrame:
@@ -384,18 +376,10 @@ def repeated_spans(docs: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     contexts = scratch.table("contexts", texts.mapInArrow(frees_memory(lambda b: _cut(b, length)), _CONTEXT_DDL))
     scratch.drop("found")
     scratch.sweep()
-    ready, spans = _crowded_spans(contexts.where(F.col("n") > CROWD), length, scratch)
-    rows = contexts.where(F.col("n") <= CROWD)
-    for more in ready:
-        rows = rows.unionByName(more)
-    dealt = rows.select(_CONTEXT).repartition("key").sortWithinPartitions("key")
-    out = dealt.mapInArrow(frees_memory(lambda b: _sorted_part(b, length)), _SPAN_DDL)
-    for more in spans:
-        out = out.unionByName(more)
-    out = scratch.table("spans", out)
+    spans = _dealt_spans(contexts, length, scratch)
     scratch.drop("contexts")
     scratch.sweep()
-    return out
+    return spans
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", texts: bool = False) -> DataFrame:
@@ -407,7 +391,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     spark = docs.sparkSession
     scratch = Scratch(spark, "suffixes")
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID))
-    docs = docs.select(key.alias("id"), F.xxhash64(key, F.col(text_col)).alias("copy"), F.col(text_col).alias("text"))
+    ids = docs.select(key.alias("id"))
+    # Where no id repeats (null ids count as one), ids alone name documents.
+    alone = ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
+    copy = F.lit(0).cast("long") if alone else F.xxhash64(key, F.col(text_col))
+    docs = docs.select(key.alias("id"), copy.alias("copy"), F.col(text_col).alias("text"))
     spans = repeated_spans(docs, length, scratch)
     marks = spans.groupBy("id", "copy").agg(F.collect_set(F.struct(F.col("from").alias("a"), F.col("to").alias("b"))).alias("spans"))
     rows = docs.join(marks, ["id", "copy"], "left").select("id", "text", "spans.a", "spans.b")
