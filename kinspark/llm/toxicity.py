@@ -19,6 +19,8 @@ from .text import frees_memory, pieces
 _WORD = re.compile(r"[^\W\d_]+").findall
 #: Lengths of word beginnings that are features beside the word; they carry stems over to words the sample lacks.
 _STEMS = (3, 4, 5, 6, 7)
+#: Documents go from this probability of a grade above 0 on.
+REJECT_AT = 0.25
 
 
 def features_of(text: str) -> Counter:
@@ -37,12 +39,13 @@ def features_of(text: str) -> Counter:
 class FitParameters:
     """``sample``: labelled documents used at most, half of them toxic; ``features``: words kept at most, by association
     with the label (G squared of at least ``least_g2``, in at least ``least_documents`` of the sample); ``severe_share``: a toxic document
-    is of grade 2 if at least this share of its words are toxic-leaning (``leaning`` times likelier in toxic documents)."""
+    is of grade 2 if at least this share of its words are toxic-leaning (``leaning`` times likelier in toxic documents). What leans is
+    counted on the half of the sample that the document is not in, so no document grades itself."""
 
     sample: int = 8000
-    features: int = 2048
-    least_documents: int = 3
-    least_g2: float = 10.83
+    features: int = 8192
+    least_documents: int = 2
+    least_g2: float = 6.63
     leaning: float = 8.0
     severe_share: float = 0.02
     penalty: float = 0.5
@@ -139,15 +142,20 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarra
     return p[:n_features], split(p)
 
 
-def _associations(words: DataFrame, toxic: int, clean: int, fit: FitParameters) -> DataFrame:
-    """Words of the sample with G squared of word against label, and how much likelier they are in toxic documents."""
-    count = words.groupBy("word").agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
+def _associations(words: DataFrame, sizes: dict[tuple[int, int], int], fit: FitParameters) -> DataFrame:
+    """Words of the sample with G squared of word against label, and for each half whether the other half counts it as toxic-leaning."""
+    total = lambda toxic, halves=(0, 1): sum(sizes.get((toxic, h), 0) for h in halves)
+    toxic, clean = total(1), total(0)
+    seen = lambda toxic, half: F.sum(F.when((F.col("toxic") == toxic) & (F.col("half") == half), 1).otherwise(0)).cast("double")
+    count = words.groupBy("word").agg(*(seen(t, h).alias(f"{name}{h}") for t, name in ((1, "a"), (0, "b")) for h in (0, 1)))
+    count = count.withColumns({"a": F.col("a0") + F.col("a1"), "b": F.col("b0") + F.col("b1")})
     n = toxic + clean
     part = lambda seen, total, margin: F.when(seen > 0, seen * F.log(seen * n / (F.lit(float(total)) * margin))).otherwise(0.0)
     with_word, without = F.col("a") + F.col("b"), n - (F.col("a") + F.col("b"))
     g2 = 2 * (part(F.col("a"), toxic, with_word) + part(F.col("b"), clean, with_word) + part(toxic - F.col("a"), toxic, without) + part(clean - F.col("b"), clean, without))
-    ratio = ((F.col("a") + 0.5) / (toxic + 1.0)) / ((F.col("b") + 0.5) / (clean + 1.0))
-    return count.where(with_word >= fit.least_documents).select("word", g2.alias("g2"), ratio.alias("ratio")).where(F.col("g2") >= fit.least_g2).orderBy(F.desc("g2"), "word").limit(fit.features)
+    ratio = lambda h: ((F.col(f"a{h}") + 0.5) / (total(1, (h,)) + 1.0)) / ((F.col(f"b{h}") + 0.5) / (total(0, (h,)) + 1.0))
+    leans = [(ratio(1 - h) >= fit.leaning).alias(f"leans{h}") for h in (0, 1)]
+    return count.where(with_word >= fit.least_documents).select("word", g2.alias("g2"), *leans).where(F.col("g2") >= fit.least_g2).orderBy(F.desc("g2"), "word").limit(fit.features)
 
 
 def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitParameters(), id_col: str = "doc_id", text_col: str = "text") -> SeverityModel:
@@ -155,18 +163,23 @@ def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitPar
 
     The sample is taken by a hash of the id, so it is the same on every run; a document with several labels counts as toxic if
     one says so; null labels, ids and texts are left out. Word statistics of the sample are aggregated in Spark; the driver
-    gets the kept words and the sample's counts of those."""
+    gets the kept words and the sample's counts of those. The sample is half toxic where it can be; the thresholds are then moved by the
+    log odds that this adds, so that probabilities are those of the labelled documents. Without labels of both kinds, or words that tell
+    them apart, the model finds every document harmless."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "toxicity")
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    labelled = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     chosen = None
     for value in (0, 1):
         part = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit.sample // 2)
         chosen = part if chosen is None else chosen.unionByName(part)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("text is not null")
     sample = scratch.table("sample", source.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
-    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(sizes) < 2:
+    half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).cast("int").alias("half")
+    sizes = {(r["toxic"], r["half"]): r["n"] for r in sample.groupBy("toxic", half).agg(F.count("*").alias("n")).collect()}
+    sampled = {t: sum(n for (u, _), n in sizes.items() if u == t) for t in (0, 1)}
+    if not all(sampled.values()):
         return HARMLESS
 
     @frees_memory
@@ -182,13 +195,12 @@ def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitPar
             yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(word, pa.string()), pa.array(n, pa.int64())], ["doc_id", "toxic", "word", "n"])
 
     id_type = sample.schema["doc_id"].dataType.simpleString()
-    words = sample.select("doc_id", "toxic", "text").mapInArrow(counts, f"doc_id {id_type}, toxic int, word string, n long")
-    chosen_words = _associations(words, sizes[1], sizes[0], fit).toPandas()
+    words = sample.select("doc_id", "toxic", "text").mapInArrow(counts, f"doc_id {id_type}, toxic int, word string, n long").withColumn("half", half)
+    chosen_words = _associations(words, sizes, fit).toPandas()
     if not len(chosen_words):
         return HARMLESS
     kept = spark.createDataFrame(chosen_words[["word"]].assign(at=range(len(chosen_words))))
-    leaning = np.flatnonzero(chosen_words["ratio"].to_numpy() >= fit.leaning)
-    per_document = words.where("word not like '%*'").groupBy("doc_id", "toxic").agg(F.sum("n").alias("length"))
+    per_document = words.where("word not like '%*'").groupBy("doc_id", "toxic", "half").agg(F.sum("n").alias("length"))
     # As Arrow columns: 16 bytes for each kept feature of a sampled document, a few MB in all.
     triples = words.join(F.broadcast(kept), "word").select("doc_id", F.col("at").cast("int").alias("at"), F.col("n").cast("int").alias("n")).toArrow()
     table = per_document.orderBy("doc_id").toArrow()
@@ -196,14 +208,19 @@ def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitPar
         return HARMLESS
     rows = np.searchsorted(table.column("doc_id").to_numpy(), triples.column("doc_id").to_numpy())
     columns, n = triples.column("at").to_numpy(), triples.column("n").to_numpy().astype(float)
-    share = np.bincount(rows, weights=n * np.isin(columns, leaning), minlength=len(table)) / np.maximum(1, table.column("length").to_numpy())
+    halves = table.column("half").to_numpy()
+    leans = np.where(halves[rows] == 0, chosen_words["leans0"].to_numpy()[columns], chosen_words["leans1"].to_numpy()[columns])
+    leans &= ~chosen_words["word"].str.endswith("*").to_numpy()[columns]
+    share = np.bincount(rows, weights=n * leans, minlength=len(table)) / np.maximum(1, table.column("length").to_numpy())
     toxic = table.column("toxic").to_numpy().astype(np.int64)
     grades = toxic * (1 + (share >= fit.severe_share))
     weights, thresholds = fit_cumulative_link(rows, columns, 1.0 + np.log(n), grades, len(chosen_words), 3, fit.penalty)
-    return SeverityModel({w: float(x) for w, x in zip(chosen_words["word"], weights, strict=True) if abs(x) > 1e-6}, tuple(map(float, thresholds)))
+    added = math.log(sampled[1] / sampled[0]) - math.log(labelled[1] / labelled[0])
+    kept_weights = {w: float(x) for w, x in zip(chosen_words["word"], weights, strict=True) if abs(x) > 1e-6}
+    return SeverityModel(kept_weights, tuple(float(t) + added for t in thresholds))
 
 
-def grade_severity(docs: DataFrame, model: SeverityModel, reject_at: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def grade_severity(docs: DataFrame, model: SeverityModel, reject_at: float = REJECT_AT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every document: P(grade >= 1), P(grade >= 2), expected severity, and whether P(grade >= 1) reaches ``reject_at``.
 
     Null and empty texts score zero on every word; repeated rows give repeated results; long texts are read whole."""
@@ -221,8 +238,9 @@ def grade_severity(docs: DataFrame, model: SeverityModel, reject_at: float = 0.5
     return docs.select(id_col, text_col).mapInArrow(run, f"doc_id {id_type}, p_mild double, p_severe double, severity double, rejected boolean")
 
 
-def drop_toxic(docs: DataFrame, model: SeverityModel, reject_at: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all columns, that are not rejected."""
+def drop_toxic(docs: DataFrame, model: SeverityModel, reject_at: float = REJECT_AT, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, that are not rejected. Null, empty and blank texts score zero and stay wherever a
+    document without toxic words does; repeated rows fare alike; an empty table gives no rows; only ``text_col`` is looked at."""
     at = docs.columns.index(text_col)
 
     @frees_memory

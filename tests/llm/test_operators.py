@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import re
 import zlib
 from unittest import mock
@@ -358,12 +359,52 @@ def test_topk_in_blocks(spark, blocks, monkeypatch):
     assert got == want
 
 
+#: The contract's patterns, written out anew.
+ASSIGNED = re.compile("(?i:(password|passwd|secret|token|api_?key)[\"']?[ ]*[:=][ ]*[\"']?)([A-Za-z0-9+/_.=-]+)")
+
+
 def brute_secrets(t):
-    out = [("assign", *m.span()) for m in secrets.ASSIGN.finditer(t) if len(m.group(2)) >= 6]
+    out = [("assign", *m.span()) for m in ASSIGNED.finditer(t) if len(m.group(2)) >= 6]
     out += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m.group()) >= 20]
     return out + [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", t) if len(m.group()) >= 24]
 
 
+def brute_entropy(t, window=20):
+    """Spans of strings of key characters by the entropy of every window, counted from scratch."""
+    out = []
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", t):
+        s = m.group()
+        letters, lower, upper, digit = (any(map(f, s)) for f in (str.isalpha, str.islower, str.isupper, str.isdigit))
+        hexed = set(s) <= set("0123456789abcdef") or set(s) <= set("0123456789ABCDEF")
+        if len(s) < window or s.isalpha() or not letters or not digit and not hexed:
+            continue
+        if re.fullmatch("[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", s) or any(x in s.lower() for x in ("example", "sample", "placeholder", "xxxx")):
+            continue
+        slug = r"([A-Za-z]+[/_=+-])*[A-Za-z]+[0-9]{0,4}"
+        if re.fullmatch(slug, s) or not (lower and upper) and not hexed and re.fullmatch(slug, s.strip("/_=+-")):
+            continue
+        if not (lower and upper) and not hexed and re.fullmatch("[0-9_=+/-]+|" + slug, s.strip("/_=+-")):
+            continue
+        entropies = [sum(-n / window * math.log2(n / window) for n in collections.Counter(s[a : a + window]).values()) for a in range(len(s) - window + 1)]
+        if max(entropies) >= (3.0 if hexed else 3.9 if lower and upper else 3.7):
+            out.append(("entropy", *m.span()))
+    return out
+
+
+def test_entropy_spans_against_brute_force(spark, docs, texts):
+    rng = np.random.default_rng(6)
+    signs = ["0123456789abcdef", "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "".join(map(chr, range(48, 123))), "ab-/_=+1"]
+    rows = [(100_000 + i, " ".join("".join(np.array(list(signs[int(k)]))[rng.integers(0, len(signs[int(k)]), int(rng.integers(10, 60)))]) for k in rng.integers(0, len(signs), 30))) for i in range(40)]
+    got = ids_of(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string").union(docs.where("doc_id is not null"))))
+    n = 0
+    for i, t in [*rows, *((i, t) for i, t in texts if i >= 0)]:
+        base = brute_secrets(t)
+        want = [x for x in brute_entropy(t) if not any(a <= x[1] and x[2] <= b for _, a, b in base)]
+        assert [tuple(x) for x in got[i][0] if x["kind"] == "entropy"] == want
+        n += len(want)
+    assert n > 100
+
+
 def test_secrets(spark, docs, texts, sf_dir):
     order = secrets.KINDS.index
     for i, v in ids_of(secrets.find_secrets(docs)).items():
@@ -398,6 +439,31 @@ def test_quality_statistics(docs, texts):
         assert got[i][:5] == (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(hit))
 
 
+def test_kept_is_the_first_rule_that_holds(docs, spark):
+    """The decision list, one document and one threshold at a time in plain Python."""
+    stats = [dict(r.asDict()) for r in quality.text_statistics(docs).collect()]
+    rules = [quality.Rule((quality.Condition("symbols_a_word", True, 0.01), quality.Condition("n_words", False, 300.0))), quality.Rule((quality.Condition("words_a_line", False, 4.0),))]
+    frame = quality.text_statistics(docs).withColumn("kept", quality.verdict(rules))
+    for r in frame.collect():
+        words, lines = r.n_words, r.n_lines
+        first = (r.n_symbols / words if words else 0.0) >= 0.01 and words < 300
+        second = (words / lines if lines else 0.0) < 4.0
+        assert r.kept == (not (first or second))
+    assert len(stats) == frame.count() and 0 < frame.where("kept").count() < len(stats)
+
+
+def test_rules_cover_what_was_planted():
+    rng = np.random.default_rng(2)
+    stats = {c: rng.integers(50, 500, 900).astype(float) for c in quality.STATISTICS}
+    stats["n_symbols"] = np.where(np.arange(900) % 5 == 0, 400.0, 1.0)
+    bad = np.arange(900) % 5 == 0
+    rules = quality.learn_rules(stats, bad)
+    hit = np.zeros(900, dtype=bool)
+    for rule in rules:
+        hit |= rule.holds(quality.feature_arrays(stats))
+    assert not (hit & ~bad).any() and hit.sum() > 0.9 * bad.sum() and rules[0].conditions[0].feature == "symbols_a_word"
+
+
 def test_quality_rules_on_held_out_labels(spark):
     folder = "/root/testdata/sf0.1"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
@@ -416,6 +482,66 @@ def test_toxicity_on_held_out_labels(spark):
     assert caught > 0.9 and wrong < 0.005
 
 
+def test_severity_against_brute_force(docs, texts):
+    """Word and word-beginning counts, logits and the expected grade, one text at a time in plain Python."""
+    model = toxicity.SeverityModel({"the": 0.4, "and": -0.2, "sch*": 0.7, "ent*": 0.3, "dont": 9.0}, (0.5, 1.5))
+    got = ids_of(toxicity.grade_severity(docs, model, reject_at=0.4))
+    for i, t in texts:
+        words = re.findall(r"[^\W\d_]+", t.lower())
+        x = {"the": words.count("the"), "and": words.count("and"), "sch*": sum(w.startswith("sch") and len(w) > 3 for w in words), "ent*": sum(w.startswith("ent") and len(w) > 3 for w in words), "dont": words.count("dont")}
+        score = sum(model.weights[f] * (1 + math.log(n)) for f, n in x.items() if n)
+        p = [1 / (1 + math.exp(h - score)) for h in model.thresholds]
+        assert np.allclose(got[i][:3], [*p, sum(p)]) and got[i][3] == (p[0] >= 0.4)
+
+
+def test_cumulative_link_reaches_the_optimum():
+    """The penalised likelihood, written out by hand, falls in no direction from the fit; as does plain gradient descent's."""
+    rng = np.random.default_rng(4)
+    x = rng.poisson(0.7, (80, 4)).astype(float)
+    grades = np.clip((x @ [1.0, -0.5, 0.3, 0.0] + rng.logistic(size=80)).round().astype(int), 0, 2)
+    rows, cols = np.nonzero(x)
+    w, t = toxicity.fit_cumulative_link(rows, cols, x[rows, cols], grades, 4, 3, 0.2, steps=2000)
+
+    def loss(p):
+        cuts = np.array([-np.inf, p[4], p[4] + np.exp(p[5]), np.inf])
+        above = lambda k: np.array([1 / (1 + np.exp(cuts[g + k] - z)) for g, z in zip(grades, x @ p[:4], strict=True)])
+        return -np.log(above(0) - above(1)).sum() + 0.1 * (p[:4] ** 2).sum() + 0.005 * (p[4:] ** 2).sum()
+
+    best = np.array([*w, t[0], math.log(t[1] - t[0])])
+    at = loss(best)
+    slope = np.array([(loss(best + d) - loss(best - d)) / 2e-4 for d in 1e-4 * np.eye(6)])
+    assert np.abs(slope).max() < 0.05
+    start = np.zeros(6)
+    for _ in range(3000):
+        start -= 0.005 * np.array([(loss(start + d) - loss(start - d)) / 2e-4 for d in 1e-4 * np.eye(6)])
+    assert abs(loss(start) - at) < 0.01 * at
+
+
+def test_probabilities_are_those_of_the_labelled_documents(spark):
+    """Ten clean documents for each toxic one, a sample of as many of either: the mean probability is the true share."""
+    rng = np.random.default_rng(8)
+    rows, marks = [], []
+    for i in range(2200):
+        toxic = int(i % 11 == 0)
+        words = [f"w{k}" for k in rng.integers(0, 200, 20)] + ["bad" + "abc"[int(rng.integers(3))] if rng.random() < (0.7 if toxic else 0.1) else "fine"]
+        rows.append((i, " ".join(re.sub(r"\d", lambda m: "qwertyuiop"[int(m[0])], w) for w in words)))
+        marks.append((i, 1, toxic))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit_severity(df, spark.createDataFrame(marks, "doc_id long, quality int, toxic int"), toxicity.FitParameters(sample=400, least_documents=5))
+    mean = toxicity.grade_severity(df, model).agg(F.avg("p_mild")).first()[0]
+    assert abs(mean - 1 / 11) < 0.06
+
+
+def test_grades_come_from_the_other_half(spark):
+    """A word that only one half of the sample holds doesn't grade the documents of that half."""
+    rows = [(i, "awfulword plain text here" if i % 2 else "plain text here now") for i in range(300)]
+    df, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, 1, i % 2) for i in range(300)], "doc_id long, quality int, toxic int")
+    words = df.join(labels, "doc_id").select("doc_id", "toxic", F.explode(F.split("text", " ")).alias("word"), F.lit(1).alias("n"))
+    half = F.when((F.col("word") == "awfulword"), 0).otherwise((F.col("doc_id") % 2).cast("int"))
+    found = toxicity._associations(words.withColumn("half", half), {(t, h): 75 for t in (0, 1) for h in (0, 1)}, toxicity.FitParameters()).where("word = 'awfulword'").first()
+    assert (found.leans0, found.leans1) == (False, True)
+
+
 def test_cumulative_link_orders_grades():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(600, 2))
