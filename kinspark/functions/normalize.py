@@ -60,10 +60,20 @@ def _first(values: Column) -> Column:
     return F.coalesce(F.try_element_at(values, F.lit(1)), F.lit(""))
 
 
-def name_views(text: Column) -> dict[str, Column]:
-    """N4-N9; legal words go after abbreviations are expanded."""
-    full = tokens(text, NAME_ABBREVIATIONS)
-    clean = F.filter(full, lambda t: ~F.array_contains(_strings(LEGAL), t))
+def name_words(text: Column) -> Column:
+    """N2 of a name."""
+    return tokens(text, NAME_ABBREVIATIONS)
+
+
+def without_legal(words: Column) -> Column:
+    """N3, after abbreviations are expanded."""
+    return F.filter(words, lambda t: ~F.array_contains(_strings(LEGAL), t))
+
+
+def name_views(text: Column, full: Column | None = None, clean: Column | None = None) -> dict[str, Column]:
+    """N4-N9, from the words of the name with and without legal ones, where the caller has them as columns already."""
+    full = name_words(text) if full is None else full
+    clean = without_legal(full) if clean is None else clean
     return {
         "name_raw": base(text),
         "name_full": F.array_join(full, " "),
@@ -74,23 +84,31 @@ def name_views(text: Column) -> dict[str, Column]:
     }
 
 
-def address_views(text: Column) -> dict[str, Column]:
-    """N11-N21; digit runs come from the text as given, so a postal code can be the house number."""
-    full = tokens(text, ADDRESS_ABBREVIATIONS)
-    plain = F.filter(full, lambda t: ~t.rlike(r"^\p{Nd}+$"))
+def address_words(text: Column) -> Column:
+    return tokens(text, ADDRESS_ABBREVIATIONS)
+
+
+def digit_runs(text: Column) -> dict[str, Column]:
+    """Digit runs come from the text as given, so a postal code can be the house number."""
     runs = F.regexp_extract_all(text, F.lit(r"(\p{Nd}+)"), F.lit(1))
     sized = lambda n: _first(F.filter(runs, lambda d: F.length(d) == n))
+    return {"pincode": sized(6), "zip5": sized(5), "house_no": _first(runs)}
+
+
+def address_views(text: Column, given: Column | None = None, full: Column | None = None) -> dict[str, Column]:
+    """N11-N21; ``given`` is the address before NFKC, ``full`` its words where the caller has them as a column already."""
+    full = address_words(text) if full is None else full
+    plain = F.filter(full, lambda t: ~t.rlike(r"^\p{Nd}+$"))
     state = _first(F.filter(full, lambda t: F.array_contains(_strings(STATES), t)))
     before = F.array_position(plain, state)
     city = F.when(before > 1, F.try_element_at(plain, (before - 1).cast("int")))
+    digits = digit_runs(text if given is None else given)
     return {
         "addr_raw": base(text),
         "addr_full": F.array_join(full, " "),
         "addr_no_digits": F.array_join(plain, " "),
         "addr_sorted": F.array_join(F.array_sort(plain), " "),
-        "pincode": sized(6),
-        "zip5": sized(5),
-        "house_no": _first(runs),
+        **digits,
         "is_landmark": F.arrays_overlap(full, _strings(LANDMARKS)).cast("int"),
         "city": F.coalesce(city, F.lit("")),
         "state": state,
@@ -109,28 +127,28 @@ def metaphone_code(text: pd.Series) -> pd.Series:
 
 
 def with_nfkc(df: DataFrame, columns: list[str]) -> DataFrame:
-    """NFKC for the distinct non-ASCII values only: ASCII rows never reach Python, repeated values reach it once."""
+    """NFKC of some columns. Rows that are ASCII in all of them, where it changes nothing, never reach Python; no shuffle."""
+    odd = F.lit(False)
     for c in columns:
-        odd = df.where(F.col(c).rlike(r"[^\x00-\x7F]")).select(c).distinct()
-        forms = odd.select(F.col(c).alias("_from"), nfkc(c).alias("_to"))
-        df = df.join(forms, df[c].eqNullSafe(F.col("_from")), "left").withColumn(c, F.coalesce("_to", c)).drop("_from", "_to")
-    return df
+        odd = odd | F.col(c).rlike(r"[^\x00-\x7F]")
+    return df.where(~odd).unionByName(df.where(odd).withColumns({c: nfkc(c) for c in columns}))
 
 
-def normalize(df: DataFrame, phonetic: str = "initials", unicode_forms: bool = False) -> DataFrame:
+def normalize(df: DataFrame, phonetic: str = "initials", unicode_forms: bool = True) -> DataFrame:
     """The four input columns and 17 views.
 
     ``phonetic``: "metaphone" codes the name without legal words (N10); "initials" is the fallback without a phonetic coder.
-    ``unicode_forms`` applies NFKC first to the name and address used for the views; the input columns stay as given. Nulls count as empty strings."""
+    ``unicode_forms`` applies NFKC (N1a) first to the name and address used for the views; the input columns stay as given, and
+    digit runs are those of the address as given. Nulls count as empty strings."""
     df = df.na.fill("", ["entity_id", "business_name", "business_address", "country"])
     given = df.withColumns({"_name": F.col("business_name"), "_address": F.col("business_address")})
     if unicode_forms:
         given = with_nfkc(given, ["_name", "_address"])
-    # Digit runs are those of the address before NFKC.
-    views = name_views(F.col("_name")) | address_views(F.col("_address"))
-    raw = address_views(F.col("business_address"))
-    views |= {c: raw[c] for c in ("pincode", "zip5", "house_no")}
-    out = given.withColumns(views).drop("_name", "_address")
+    # Words are columns of their own, so that no view splits the text again.
+    given = given.withColumns({"_full": name_words(F.col("_name")), "_words": address_words(F.col("_address"))})
+    given = given.withColumn("_clean", without_legal(F.col("_full")))
+    views = name_views(F.col("_name"), F.col("_full"), F.col("_clean")) | address_views(F.col("_address"), F.col("business_address"), F.col("_words"))
+    out = given.withColumns(views).drop("_name", "_address", "_full", "_words", "_clean")
     if phonetic == "metaphone":
         names = out.select("name_no_legal").distinct().withColumn("name_meta", metaphone_code("name_no_legal"))
         return out.join(names, "name_no_legal").select(*df.columns, *NAME_VIEWS, *ADDRESS_VIEWS, "name_meta")

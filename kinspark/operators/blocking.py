@@ -65,9 +65,9 @@ def within_bounds(cfg: Blocking) -> Column:
     )
 
 
-def key_frequencies(others: DataFrame, cfg: Blocking) -> DataFrame:
-    """How many candidate rows hold each key, with the B4 verdict."""
-    return key_rows(others, cfg).groupBy("key").agg(F.count("*").alias("df")).withColumn("kept", within_bounds(cfg))
+def key_frequencies(others: DataFrame, cfg: Blocking, keys: DataFrame | None = None) -> DataFrame:
+    """How many candidate rows hold each key, with the B4 verdict; ``keys`` are the key rows of ``others`` where the caller has them."""
+    return (key_rows(others, cfg) if keys is None else keys).groupBy("key").agg(F.count("*").alias("df")).withColumn("kept", within_bounds(cfg))
 
 
 def largest_buckets(frequencies: DataFrame, n: int = 5) -> DataFrame:
@@ -82,18 +82,21 @@ def key_statistics(frequencies: DataFrame, others: DataFrame) -> DataFrame:
     return found.join(others.agg(F.count("*").alias("rows_read")))
 
 
-def inverted_index(others: DataFrame, cfg: Blocking) -> DataFrame:
+def inverted_index(others: DataFrame, cfg: Blocking, keys: DataFrame | None = None) -> DataFrame:
     """(key, cand_id) on kept keys."""
-    kept = key_frequencies(others, cfg).where("kept").select("key")
-    return key_rows(others, cfg).join(kept, "key", "left_semi").select("key", F.col("entity_id").alias("cand_id"))
+    keys = key_rows(others, cfg) if keys is None else keys
+    kept = key_frequencies(others, cfg, keys).where("kept").select("key")
+    return keys.join(kept, "key", "left_semi").select("key", F.col("entity_id").alias("cand_id"))
 
 
-def candidates(queries: DataFrame, others: DataFrame, cfg: Blocking) -> DataFrame:
+def candidates(queries: DataFrame, others: DataFrame, cfg: Blocking, keys: DataFrame | None = None, other_keys: DataFrame | None = None) -> DataFrame:
     """Distinct (s1_id, cand_id), at most ``max_candidates_per_entity`` for each query entity.
 
     The cap keeps the least ids, or with ``rank_candidates`` those that share most keys. Bounds cap every bucket, so the
-    join's rows are at most the query's key rows times the largest bound."""
-    met = key_rows(queries, cfg).withColumnRenamed("entity_id", "s1_id").join(inverted_index(others, cfg), "key")
+    join's rows are at most the query's key rows times the largest bound. ``keys`` and ``other_keys`` are key rows of the two
+    sides where the caller has them written."""
+    keys = key_rows(queries, cfg) if keys is None else keys
+    met = keys.select(F.col("entity_id").alias("s1_id"), "key").join(inverted_index(others, cfg, other_keys), "key")
     cap = cfg.max_candidates_per_entity
     if cfg.rank_candidates and cap:
         pairs = met.groupBy("s1_id", "cand_id").agg(F.count("*").alias("shared"))

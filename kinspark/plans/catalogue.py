@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinspark.config import Blocking, Decision, Model
 from kinspark.functions import normalize as n
 from kinspark.operators import blocking, checks, decide, features, profile, sampling, tfidf
+from kinspark.operators.written import written
 from kinspark.plans.fixture import ENTITIES_SQL, entities, truth
 
 CFG, DECISION = Blocking(), Decision()
@@ -15,17 +18,45 @@ BUDGET = 20_000
 
 
 class Tables:
-    """Plans that several queries share; nothing runs until a query is used."""
+    """Plans that several queries share. Normalized rows and keys are written when a query first needs them more than once."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.all = n.normalize(entities(spark, sf_dir))
-        self.queries = self.all.where("source = 1")
-        self.others = self.all.where("source <> 1")
-        self.truth = truth(self.all)
+        self.entities = entities(spark, sf_dir)
+        #: For queries that read the rows once.
+        self.rows = n.normalize(self.entities)
+        self.candidates_of = self.rows.where("source <> 1")
+
+    @cached_property
+    def all(self) -> DataFrame:
+        return written(self.rows)
 
     @property
+    def queries(self) -> DataFrame:
+        return self.all.where("source = 1")
+
+    @property
+    def others(self) -> DataFrame:
+        return self.all.where("source <> 1")
+
+    @cached_property
+    def truth(self) -> DataFrame:
+        return truth(self.all)
+
+    @cached_property
+    def keys(self) -> DataFrame:
+        """Key rows of all entities with their source."""
+        return written(self.all.select("source", "entity_id", F.explode(blocking.blocking_keys(CFG)).alias("key")))
+
+    @property
+    def other_keys(self) -> DataFrame:
+        return self.keys.where("source <> 1").select("entity_id", "key")
+
+    def candidates(self, cfg: Blocking) -> DataFrame:
+        return blocking.candidates(self.queries, self.others, cfg, self.keys.where("source = 1"), self.other_keys)
+
+    @cached_property
     def pairs(self) -> DataFrame:
-        return blocking.candidates(self.queries, self.others, CFG)
+        return written(self.candidates(CFG))
 
     @property
     def sides(self) -> DataFrame:
@@ -38,7 +69,7 @@ class Tables:
         flags = sum(x[c] for c in ("name_init", "house_match", "zip_match", "pin_match", "city_match"))
         return self.sides.select("s1_id", "cand_id", F.round(flags / F.lit(10.0) + F.lit(0.5) * x["name_len_ratio"], 2).alias("p"))
 
-    @property
+    @cached_property
     def lists(self) -> DataFrame:
         return decide.scored_lists(self.scored)
 
@@ -168,7 +199,7 @@ def _trained(t: Tables, cfg: Model = Model()) -> DataFrame:
     from kinspark.operators import model
 
     kept = sampling.budget_sample(t.queries, t.pairs, t.truth, cfg.max_train_pairs).select("s1_id")
-    rows = features.with_labels(features.pair_features(t.pairs, t.queries, t.others, _vectors(t)), t.truth).persist()
+    rows = written(features.with_labels(features.pair_features(t.pairs, t.queries, t.others, _vectors(t)), t.truth))
     return model.score_all(rows, kept, cfg)
 
 
@@ -188,15 +219,15 @@ def _checked(t: Tables) -> DataFrame:
 _ids = lambda t: t.queries.select(F.col("entity_id").alias("s1_id"))
 
 QUERIES = {
-    "normalize_name_views": _query(lambda t: t.all.select("entity_id", *n.NAME_VIEWS)),
-    "normalize_address_views": _query(lambda t: t.all.select("entity_id", *n.ADDRESS_VIEWS)),
-    "blocking_keys": _query(lambda t: blocking.key_rows(t.all, CFG)),
-    "key_document_frequency": _query(lambda t: blocking.key_frequencies(t.others, CFG)),
-    "key_stats": _query(lambda t: blocking.key_statistics(blocking.key_frequencies(t.others, CFG), t.others)),
-    "top_buckets": _query(lambda t: blocking.largest_buckets(blocking.key_frequencies(t.others, CFG))),
-    "inverted_index": _query(lambda t: blocking.inverted_index(t.others, CFG)),
-    "candidates_uncapped": _query(lambda t: blocking.candidates(t.queries, t.others, Blocking(max_candidates_per_entity=None))),
-    "candidates_capped": _query(lambda t: t.pairs),
+    "normalize_name_views": _query(lambda t: t.rows.select("entity_id", *n.NAME_VIEWS)),
+    "normalize_address_views": _query(lambda t: t.rows.select("entity_id", *n.ADDRESS_VIEWS)),
+    "blocking_keys": _query(lambda t: blocking.key_rows(t.rows, CFG)),
+    "key_document_frequency": _query(lambda t: blocking.key_frequencies(t.candidates_of, CFG)),
+    "key_stats": _query(lambda t: blocking.key_statistics(blocking.key_frequencies(t.others, CFG, t.other_keys), t.others)),
+    "top_buckets": _query(lambda t: blocking.largest_buckets(blocking.key_frequencies(t.candidates_of, CFG))),
+    "inverted_index": _query(lambda t: blocking.inverted_index(t.others, CFG, t.other_keys)),
+    "candidates_uncapped": _query(lambda t: t.candidates(Blocking(max_candidates_per_entity=None))),
+    "candidates_capped": _query(lambda t: t.candidates(CFG)),
     "candidate_lists": _query(lambda t: blocking.candidate_lists(t.queries, t.pairs).select("s1_id", F.array_join("ids", ",").alias("candidate_entity_ids"))),
     "avg_candidates": _query(lambda t: _rounded(blocking.average_candidates(t.queries, t.pairs), "avg_candidates")),
     "blocking_recall": _query(lambda t: t.truth.join(t.pairs.withColumn("hit", F.lit(1)), ["s1_id", "cand_id"], "left").agg(F.count("*").alias("n_true"), F.count("hit").alias("n_kept"))),
@@ -215,6 +246,8 @@ QUERIES = {
     "tfidf_weights": _query(lambda t: _rounded(_vectors(t).select("entity_id", "field", "term", "w"), "w")),
     "pair_tfidf_cosine": _query(lambda t: _rounded(tfidf.cosines(t.pairs, _vectors(t)), "name_tfidf", "addr_tfidf")),
     "pair_budget_sample": _query(lambda t: sampling.budget_sample(t.queries, t.pairs, t.truth, BUDGET, seed=None)),
+    "pair_budget_sample_default": _query(lambda t: sampling.budget_sample(t.queries, t.pairs, t.truth, Model().max_train_pairs, seed=None)),
+    "normalize_metaphone": _query(lambda t: n.normalize(t.entities, phonetic="metaphone").select("entity_id", "name_no_legal", "name_meta")),
     "scored_lists": _query(lambda t: t.lists.select("s1_id", F.array_join(F.transform("scored", lambda x: x["cand_id"]), ",").alias("ids"))),
     "greedy_decision": _query(lambda t: t.picks),
     "nongreedy_decision": _query(lambda t: t.lists.select("s1_id", F.explode(decide.threshold_picks(F.col("scored"), 0.6, 0.5)).alias("cand_id"))),
@@ -252,6 +285,28 @@ grid AS (SELECT t_open, c.t_add, avg({_F05}) AS macro_f05 FROM (
   FROM cells c CROSS JOIN sizes LEFT JOIN one ON one.s1_id = sizes.s1_id AND one.t_add = c.t_add) c GROUP BY t_open, c.t_add)"""
 
 
+def _first_fit(budget: int) -> str:
+    """Entities walked one at a time in the order of their ids."""
+    parts = _with(
+        *_NKP, _TRUTH, _SIZES,
+        """offer AS MATERIALIZED (SELECT s.s1_id, count(p.cand_id) AS n_pairs, any_value(s.n_true) > 0 AS positive FROM sizes s LEFT JOIN pairs p ON p.s1_id = s.s1_id GROUP BY s.s1_id)""",
+        "queue AS MATERIALIZED (SELECT s1_id, n_pairs, row_number() OVER (ORDER BY s1_id) AS turn FROM offer WHERE NOT positive)",
+        f"""walk AS (SELECT CAST(0 AS BIGINT) AS turn, CAST((SELECT coalesce(sum(n_pairs), 0) FROM offer WHERE positive) AS BIGINT) AS spent, CAST(NULL AS VARCHAR) AS taken
+UNION ALL SELECT q.turn, CASE WHEN w.spent < {budget} AND w.spent + q.n_pairs <= {budget} THEN w.spent + q.n_pairs ELSE w.spent END,
+  CASE WHEN w.spent < {budget} AND w.spent + q.n_pairs <= {budget} THEN q.s1_id END FROM walk w JOIN queue q ON q.turn = w.turn + 1)""",
+        select="SELECT s1_id, n_pairs, positive FROM offer WHERE positive OR s1_id IN (SELECT taken FROM walk WHERE taken IS NOT NULL)",
+    )
+    return parts.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _edits(c: str) -> str:
+    """1 - edit distance / longer length, row by row over code points (DuckDB's own function counts bytes)."""
+    a, b = f"a.{c}", f"b.{c}"
+    return f"""round(CASE WHEN {a} = '' AND {b} = '' THEN 1.0::DOUBLE WHEN {a} = '' OR {b} = '' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE - list_reduce(string_split({a}, ''), lambda acc, ch:
+    list_reduce(generate_series(1, length({b})), lambda r, j: list_append(r, least(acc[j] + CASE WHEN substr({b}, j, 1) = ch THEN 0 ELSE 1 END, acc[j + 1] + 1, r[j] + 1)), [acc[1] + 1]::BIGINT[]),
+    list_transform(generate_series(0, length({b})), lambda i: i::BIGINT))[-1] / greatest(length({a}), length({b}))::DOUBLE END, 6)"""
+
+
 _GRID_SELECT = "SELECT round(macro_f05, 6) AS macro_f05, round(t_open, 6) AS t_open, round(t_add, 6) AS t_add FROM grid"
 _LAST = "right(s1_id, 1)"
 
@@ -288,11 +343,10 @@ CAST(b.entity_id LIKE 'S3-%' AS INTEGER) AS src_is_s3 {_SIDES}""",
         select="""SELECT p.s1_id, p.cand_id, round(coalesce(sum(a.w * b.w) FILTER (a.field = 'name'), 0), 6) AS name_tfidf, round(coalesce(sum(a.w * b.w) FILTER (a.field = 'addr'), 0), 6) AS addr_tfidf
 FROM pairs p LEFT JOIN wts a ON a.entity_id = p.s1_id LEFT JOIN wts b ON b.entity_id = p.cand_id AND b.field = a.field AND b.term = a.term GROUP BY p.s1_id, p.cand_id""",
     ),
-    "pair_budget_sample": _with(
-        *_NKP, _TRUTH, _SIZES,
-        select=f"""SELECT s1_id, n_pairs, positive FROM (SELECT *, sum(CASE WHEN positive THEN n_pairs ELSE 0 END) OVER () AS used, sum(CASE WHEN positive THEN 0 ELSE n_pairs END) OVER (ORDER BY s1_id) AS run
-FROM (SELECT s.s1_id, count(p.cand_id) AS n_pairs, any_value(s.n_true) > 0 AS positive FROM sizes s LEFT JOIN pairs p ON p.s1_id = s.s1_id GROUP BY s.s1_id)) WHERE positive OR used < {BUDGET} AND used + run <= {BUDGET}""",
-    ),
+    "pair_budget_sample": _first_fit(BUDGET),
+    "pair_budget_sample_default": _first_fit(Model().max_train_pairs),
+    "pair_levenshtein": _with(*_NKP, select=f"SELECT s1_id, cand_id, {_edits('name_init')} AS init_lev {_SIDES}"),
+    "pair_name_levenshtein": _with(*_NKP, select=f"SELECT s1_id, cand_id, {_edits('name_no_legal')} AS name_lev {_SIDES}"),
     "scored_lists": _with(*_NKP, _SCORED, select="SELECT s1_id, string_agg(cand_id, ',' ORDER BY p DESC, cand_id DESC) AS ids FROM scored GROUP BY s1_id"),
     "greedy_decision": _with(*_NKP, _SCORED, select="SELECT * FROM picks"),
     "nongreedy_decision": _with(*_NKP, _SCORED, select="SELECT s1_id, cand_id FROM scored JOIN top USING (s1_id) WHERE top >= 0.6 AND p >= 0.5"),
