@@ -20,28 +20,34 @@ def _with_length(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model rejects go."""
+    """Documents that the severity model rejects go. Null and empty texts have no toxic word and stay; an empty table stays empty;
+    repeated rows fare alike; without labels of both kinds every document stays."""
     model = toxicity.fit_severity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs.select(COLUMNS), model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines go; every document stays, if need be with an empty text."""
-    return _with_length(line_dedup.drop_repeated_lines(docs.select(COLUMNS)))
+    """Later copies of repeated runs of lines go, and documents that are left without a word by that.
+
+    Documents that repeat nothing stay as they are, null, empty and blank texts among them; of repeated rows with one id and text
+    all stay or go alike; an empty table stays empty."""
+    return _with_length(line_dedup.drop_repeated_lines(docs.select(COLUMNS), emptied=False))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the least id stays: sets of five words, similarity 0.8."""
+    """Of each component of near duplicates the document with the least id stays: sets of five words, similarity 0.8.
+
+    Null, empty and blank texts link with nothing and all stay; null ids come last; rows that repeat id and text are copies."""
     return jaccard.keep_one(docs.select(COLUMNS), size=5, percent=80)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in the text give way to a mark; every document stays."""
+    """Secrets in the text give way to a mark; every document stays, null texts as null."""
     return _with_length(secrets.redact_secrets(docs.select(COLUMNS)))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of 2048, as places of pieces."""
+    """Token sequences of 2048, as places of pieces. A null or empty text is one piece of its end id; an empty table gives no rows."""
     return packing.pack(docs, BYTE_BPE, 2048)
 
 
