@@ -22,9 +22,11 @@ def _text(c: str) -> Column:
     return F.when(F.col(c).isNull() | F.col(c).isin(*NO_VALUE), F.lit("")).otherwise(F.col(c)).alias(c)
 
 
-def read_strings(spark: SparkSession, path: str, required: tuple[str, ...], no_value: bool = True) -> DataFrame:
-    """A tab-separated file with header and ``"`` quotes, all strings; required columns only, in their order."""
-    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": True, "encoding": "UTF-8"}
+def read_strings(spark: SparkSession, path: str, required: tuple[str, ...], no_value: bool = True, multiline: bool = False) -> DataFrame:
+    """A tab-separated file with header and ``"`` quotes, all strings; required columns only, in their order.
+
+    Files are split between tasks at line ends; with ``multiline`` quoted fields may hold line ends, and a file is one task's."""
+    options = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "multiLine": multiline, "encoding": "UTF-8"}
     names = spark.read.options(**options).csv(path).columns
     missing = [c for c in required if c not in names]
     if missing:
@@ -34,9 +36,15 @@ def read_strings(spark: SparkSession, path: str, required: tuple[str, ...], no_v
     return rows.select(*(_text(c) if no_value else F.coalesce(c, F.lit("")).alias(c) for c in required))
 
 
-def read_entities(spark: SparkSession, path: str) -> DataFrame:
+def read_entities(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """S1, S1a, S1b."""
-    return read_strings(spark, path, COLUMNS)
+    return read_strings(spark, path, COLUMNS, multiline=multiline)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path is there, in whatever store Spark reads it from."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def read_sources(spark: SparkSession, folder: str, split: str, names: tuple[str, ...] | None = None) -> DataFrame:
@@ -44,7 +52,7 @@ def read_sources(spark: SparkSession, folder: str, split: str, names: tuple[str,
     names = tuple(names or (f"{split}_source{k}.tsv" for k in (1, 2, 3)))
     if len(names) != 3:
         raise ValueError(f"three source files are needed, got {len(names)}")
-    if lacking := [n for n in names if not Path(folder, n).exists()]:
+    if lacking := [n for n in names if not _exists(spark, f"{folder}/{n}")]:
         raise FileNotFoundError(f"{lacking} not in {folder}; expected {list(names)}")
     parts = [read_entities(spark, f"{folder}/{n}").withColumns({"split": F.lit(split), "source": F.lit(k)}) for k, n in enumerate(names, 1)]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
@@ -81,6 +89,23 @@ def write_candidates(lists: DataFrame, path: str) -> None:
     write_lists(lists.withColumn("ids", F.array_sort("ids")), path, "candidate_entity_ids")
 
 
+def cache_path(cache_dir: str, name: str) -> str:
+    """S14; writers create what is missing."""
+    return f"{cache_dir.rstrip('/')}/{name}"
+
+
+def write_cache(df: DataFrame, path: str) -> DataFrame:
+    """A table between stages (normalized rows, truth, candidates, vectors) as Parquet, read back; an empty table is written too."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return read_cache(df.sparkSession, path)
+
+
+def read_cache(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """A table between stages, of the named columns."""
+    found = spark.read.parquet(path)
+    return found.select(columns) if columns else found
+
+
 def write_thresholds(path: str, t_open: float, t_add: float, score: float) -> None:
     """S9."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)
