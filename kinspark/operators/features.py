@@ -11,7 +11,7 @@ from kinspark.functions.similarity import SIMILARITIES, similarities
 from kinspark.operators.tfidf import cosines
 
 EXACT = ("name_phon", "name_init", "name_len_ratio", "pin_match", "zip_match", "house_match", "city_match", "state_match", "country_eq", "landmark_any", "src_is_s3")
-#: Order of the columns of the training matrix.
+# Names and order of the columns of the training matrix.
 FEATURES = (
     "name_ratio", "name_partial", "name_tsort", "name_tset", "name_wratio", "name_lev",
     "name_phon", "name_init", "name_len_ratio", "addr_ratio", "addr_tsort", "addr_tset",
