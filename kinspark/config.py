@@ -22,7 +22,8 @@ class Paths:
 class Blocking:
     """Bounds of document frequency for each kind of key; ``rank_candidates`` keeps those with most shared keys instead of the least ids.
 
-    ``n_jobs``, ``chunk_size``, ``minhash_threshold`` and ``use_lsh`` are read and have no effect: Spark partitions the work."""
+    ``use_lsh`` adds keys of least hashes, whose bands aim at ``minhash_threshold``. ``n_jobs`` and ``chunk_size`` are read and have no
+    effect: Spark partitions the work."""
 
     rare_token_df_min: int = 2
     rare_token_df_max: int = 200

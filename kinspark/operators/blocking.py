@@ -25,11 +25,23 @@ def _one(tag: str, value: Column, given: Column) -> Column:
     return F.when(given, F.array(F.concat(F.lit(f"{tag}:"), value))).otherwise(F.array().cast("array<string>"))
 
 
-def blocking_keys(cfg: Blocking) -> Column:
-    """B1: the set of tagged keys of a normalized row."""
-    ordered, n = _words("name_sorted"), cfg.char_ngram_n
+def _name_grams(n: int) -> Column:
     compact = F.col("name_compact")
     starts = F.when(F.length(compact) >= n, F.sequence(F.lit(1), F.length(compact) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: compact.substr(i, F.lit(n)))
+
+
+def lsh_keys(cfg: Blocking) -> Column:
+    """B13, off by default: bands of two least hashes each over the name's n-grams; as many bands as put the middle of their curve at ``minhash_threshold``."""
+    grams = _name_grams(cfg.char_ngram_n)
+    least = lambda seed: F.array_min(F.transform(grams, lambda g: F.xxhash64(F.lit(seed), g)))
+    bands = [F.concat(F.lit(f"lsh:{b}_"), F.hex(F.xxhash64(least(2 * b), least(2 * b + 1)))) for b in range(max(1, round(cfg.minhash_threshold**-2)))]
+    return F.when(F.size(grams) > 0, F.array(*bands)).otherwise(F.array().cast("array<string>"))
+
+
+def blocking_keys(cfg: Blocking) -> Column:
+    """B1: the set of tagged keys of a normalized row."""
+    ordered = _words("name_sorted")
     first = F.try_element_at(ordered, F.lit(1))
     parts = [
         _tagged("ntok", _words("name_no_legal")),
@@ -41,7 +53,8 @@ def blocking_keys(cfg: Blocking) -> Column:
         _one("zip", F.col("zip5"), F.col("zip5") != ""),
         _one("cs", F.concat("city", F.lit("_"), "state"), (F.col("city") != "") & (F.col("state") != "")),
         _tagged("atok", _words("addr_no_digits")),
-        _tagged("ng", F.transform(starts, lambda i: compact.substr(i, F.lit(n)))),
+        _tagged("ng", _name_grams(cfg.char_ngram_n)),
+        *([lsh_keys(cfg)] if cfg.use_lsh else []),
         *(make(cfg) for make in KEY_GENERATORS.values()),
     ]
     return F.array_distinct(F.concat(*parts))
@@ -57,7 +70,7 @@ def within_bounds(cfg: Blocking) -> Column:
     kind, df = F.split_part("key", F.lit(":"), F.lit(1)), F.col("df")
     locality = cfg.loc_token_df_max if cfg.loc_token_df_max is not None else cfg.rare_token_df_max
     return (
-        F.when(kind.isin("ntok", "ng"), df.between(cfg.rare_token_df_min, cfg.rare_token_df_max))
+        F.when(kind.isin("ntok", "ng", "lsh"), df.between(cfg.rare_token_df_min, cfg.rare_token_df_max))
         .when(kind == "atok", df <= cfg.addr_token_df_max)
         .when(kind.isin("cs", "nfirst", "nfirst2", "meta", "init"), df <= locality)
         .when(kind.isin("pin", "zip"), df <= cfg.pin_token_df_max)

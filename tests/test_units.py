@@ -107,3 +107,16 @@ def test_config(tmp_path):
     (tmp_path / "c.yaml").write_text("blocking: {char_ngram_n: 4, nothing: 1}\nteam_name: x\n")
     cfg = load_config(str(tmp_path / "c.yaml"))
     assert (cfg.blocking.char_ngram_n, cfg.blocking.rare_token_df_max, cfg.team_name) == (4, 200, "x")
+
+
+def test_least_hash_keys(spark):
+    """Equal names share all bands, near names most often one, unlike names none; off by default."""
+    from kinspark.config import Blocking
+    from kinspark.operators import blocking
+
+    names = ["northern lights trading house", "northern lights trading house", "northern light trading houses", "quick brown fox jumpers"]
+    rows = spark.createDataFrame([(f"S2-{k}", n, "", "") for k, n in enumerate(names)], "entity_id string, business_name string, business_address string, country string")
+    found = blocking.key_rows(normalize.normalize(rows), Blocking(use_lsh=True)).where("key like 'lsh:%'").collect()
+    keys = [{r.key for r in found if r.entity_id == f"S2-{k}"} for k in range(4)]
+    assert len(keys[0]) == 4 and keys[0] == keys[1] and keys[0] & keys[2] and not keys[0] & keys[3]
+    assert blocking.key_rows(normalize.normalize(rows), Blocking()).where("key like 'lsh:%'").count() == 0
