@@ -38,7 +38,10 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def sweep(self) -> None:
-        """Let Spark's cleaner delete the shuffle files of queries that are over; it follows the driver's garbage collection."""
+        """Let Spark's cleaner delete the shuffle files of queries that are over; it follows the driver's garbage collection.
+
+        The session holds on to its last query, so an empty one comes first."""
+        self.spark.range(1).collect()
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
