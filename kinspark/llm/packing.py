@@ -58,7 +58,10 @@ def fewest(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def token_pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of every document: its token ids and ``end_id``, cut only where longer than ``capacity``, the first piece then the shorter one."""
+    """Pieces of every document: its token ids and ``end_id``, cut only where longer than ``capacity``, the first piece then the shorter one.
+
+    Null and empty texts give one piece, the end id alone; repeated rows give repeated pieces; an empty table gives no rows; texts
+    of any length are tokenized whole; only ``id_col`` and ``text_col`` are looked at."""
     raw = shipped(docs.sparkSession, vocabulary)
     id_type = docs.schema[id_col].dataType.simpleString()
 

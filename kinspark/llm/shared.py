@@ -11,6 +11,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Written tables since the last sweep from which on one is worth its garbage collection.
+SWEEP_BYTES = 4 << 20
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; in local mode, where it is unset, a temporary one of this process."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -24,29 +28,51 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{folder}"
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system and the path as Spark's JVM has them."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+#: Folders of operator calls whose tables may still be read.
+_roots: list[str] = []
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete the written tables of all operator calls so far; for callers who have used or saved the results."""
+    while _roots:
+        files, place = _files(spark, _roots.pop())
+        files.delete(place, True)
+
+
 class Scratch:
-    """Written intermediate tables of one operator call."""
+    """Written intermediate tables of one operator call. Results read from them, so they stay until ``clear``."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
+        self.spark, self.fresh = spark, 0
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        _roots.append(self.root)
 
     def table(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and return it as read back; a lost executor then costs no recomputation."""
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+        files, place = _files(self.spark, path)
+        self.fresh += files.getContentSummary(place).getLength()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def sweep(self) -> None:
         """Let Spark's cleaner delete the shuffle files of queries that are over; it follows the driver's garbage collection.
 
-        The session holds on to its last query, so an empty one comes first."""
+        The session holds on to its last query, so an empty one comes first. After a few MB of tables there is nothing to gain."""
+        if self.fresh < SWEEP_BYTES:
+            return
+        self.fresh = 0
         self.spark.range(1).collect()
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
 
     def drop(self, name: str) -> None:
         """Delete a written table that nothing reads any more."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        files, place = _files(self.spark, f"{self.root}/{name}")
+        files.delete(place, True)
