@@ -69,6 +69,7 @@ def _doubled(lines: DataFrame, scratch: Scratch) -> list[DataFrame]:
         words = F.col("words") + F.col("more") if depth == 1 else F.col("words")
         depth *= 2
         tables.append(_ranked(pairs.withColumn("words", words), ["front", "back"], scratch, f"depth-{depth}"))
+        scratch.sweep()
     return tables[:-1]
 
 
@@ -111,6 +112,7 @@ def repeated_runs(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFra
         rows = entering if walked is None else walked.unionByName(entering)
         walked = _extended(rows, tables[k], 2**k, scratch, f"walked-{k}")
         scratch.drop(f"walked-{k + 1}")
+        scratch.sweep()
     if walked is not None:
         runs = runs.unionByName(walked.where(_place() != F.col("first")).select(*_PLACE, "depth", "words"))
     return lines, scratch.table("runs", runs)
