@@ -20,7 +20,7 @@ _WORD = re.compile(r"[^\W\d_]+").findall
 #: Lengths of word beginnings that are features beside the word; they carry stems over to words the sample lacks.
 _STEMS = (3, 4, 5, 6, 7)
 #: Documents go from this probability of a grade above 0 on.
-REJECT_AT = 0.25
+REJECT_AT = 0.2
 
 
 def features_of(text: str) -> Counter:
@@ -39,15 +39,15 @@ def features_of(text: str) -> Counter:
 class FitParameters:
     """``sample``: labelled documents used at most, half of them toxic; ``features``: words kept at most, by association
     with the label (G squared of at least ``least_g2``, in at least ``least_documents`` of the sample); ``severe_share``: a toxic document
-    is of grade 2 if at least this share of its words are toxic-leaning (``leaning`` times likelier in toxic documents). What leans is
+    is of grade 2 if it has at least this share of toxic-leaning features (``leaning`` times likelier in toxic documents) to a word. What leans is
     counted on the half of the sample that the document is not in, so no document grades itself."""
 
     sample: int = 8000
-    features: int = 8192
-    least_documents: int = 2
-    least_g2: float = 6.63
+    features: int = 2048
+    least_documents: int = 3
+    least_g2: float = 10.83
     leaning: float = 8.0
-    severe_share: float = 0.02
+    severe_share: float = 0.05
     penalty: float = 0.5
 
 
@@ -81,7 +81,7 @@ def logistic(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * z))
 
 
-def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, penalty: float, steps: int = 200) -> tuple[np.ndarray, np.ndarray]:
+def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, n_features: int, n_grades: int, penalty: float, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds of the penalised maximum likelihood, by L-BFGS.
 
     The features come as triples (row, column, value). The first threshold is free and the further ones add exponentials, so
@@ -133,7 +133,7 @@ def fit_cumulative_link(rows: np.ndarray, columns: np.ndarray, values: np.ndarra
         if size <= 1e-10:
             break
         s, y = size * d, trial[1] - slope
-        done = cost - trial[0] < 1e-7 * abs(cost)
+        done = cost - trial[0] < 1e-8 * abs(cost)
         p, cost, slope = p + s, *trial
         if s @ y > 1e-12:
             history = [*history, (s, y)][-10:]
@@ -210,7 +210,6 @@ def fit_severity(docs: DataFrame, labels: DataFrame, fit: FitParameters = FitPar
     columns, n = triples.column("at").to_numpy(), triples.column("n").to_numpy().astype(float)
     halves = table.column("half").to_numpy()
     leans = np.where(halves[rows] == 0, chosen_words["leans0"].to_numpy()[columns], chosen_words["leans1"].to_numpy()[columns])
-    leans &= ~chosen_words["word"].str.endswith("*").to_numpy()[columns]
     share = np.bincount(rows, weights=n * leans, minlength=len(table)) / np.maximum(1, table.column("length").to_numpy())
     toxic = table.column("toxic").to_numpy().astype(np.int64)
     grades = toxic * (1 + (share >= fit.severe_share))
