@@ -92,7 +92,7 @@ def train(run: Run) -> None:
 def predict(run: Run) -> None:
     """Scores of the test candidates, and each entity's matches as a result file."""
     cfg = run.cfg
-    found = model.Matcher.load(cfg.paths.model_path, 3 if cfg.model.calibrate else 1, cfg.model.calibrate)
+    found = model.Matcher.load(cfg.paths.model_path)
     cut = tables.read_thresholds(f"{cfg.paths.cache_dir}/thresholds.json")
     lists = decide.scored_lists(run.kept("test_scores", found.score(_features(run, "test", run.read("test_candidates")))))
     picks = lists.select("s1_id", decide.greedy_picks(F.col("scored"), cut["t_open"], cut["t_add"], cfg.decision.max_matches).alias("ids"))

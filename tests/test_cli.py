@@ -1,5 +1,6 @@
 """The stages from TSV files to a packaged result, incremental matching, and similarities against their definitions."""
 
+import math
 import zipfile
 
 import pytest
@@ -38,7 +39,7 @@ def test_all_stages(spark, tmp_path, monkeypatch):
     write_split(tmp_path / "train", "train", 48)
     write_split(tmp_path / "test", "test", 24)
     paths = Paths(train_dir=str(tmp_path / "train"), test_dir=str(tmp_path / "test"), output_dir=str(tmp_path / "output"), cache_dir=str(tmp_path / "cache"), model_path=str(tmp_path / "cache/model"))
-    cfg = Config(paths=paths, model=Model(n_estimators=2, num_leaves=3, min_child_samples=1, n_folds=2, calibrate=False, tfidf_min_df=1), decision=Decision())
+    cfg = Config(paths=paths, model=Model(n_estimators=60, learning_rate=0.2, num_leaves=7, min_child_samples=5, n_folds=2, calibrate=False, tfidf_min_df=1), decision=Decision())
     cli.run_stages(spark, cfg)
     matches = {r.s1_id: r.ids for r in tables.read_lists(spark, str(tmp_path / "output/matching_results.tsv"), "matched_entity_ids").collect()}
     assert len(matches) == 24 and sum(matches[f"S1-{i:03}"] == [f"S2-{i:03}"] for i in range(24)) >= 12
@@ -163,6 +164,44 @@ def test_model_is_saved_and_loaded(spark, tmp_path):
     pairs = spark.createDataFrame(rows, ["s1_id", "cand_id", *FEATURES, "label"]).coalesce(1)
     made = model.train(pairs, Model(n_estimators=2, num_leaves=3, calibrate=True, min_child_samples=1))
     made.save(str(tmp_path / "m"))
-    back = model.Matcher.load(str(tmp_path / "m"), 3, True)
+    back = model.Matcher.load(str(tmp_path / "m"))
     one, two = ({(r.s1_id, r.cand_id): round(r.p, 9) for r in m.score(pairs).collect()} for m in (made, back))
     assert one == two and len(one) == 60
+
+
+def test_trees_grow_leaf_by_leaf_with_l2():
+    """One tree of two leaves splits where a search over all cuts does; its leaves are -G / (H + L2), by the learning rate."""
+    import numpy as np
+
+    from kinspark.operators import boosting
+
+    rng = np.random.default_rng(1)
+    x, noise = rng.integers(0, 30, (300, 3)).astype(float), rng.random(300)
+    y = ((x[:, 1] > 12) ^ (noise < 0.1)).astype(float)
+    cfg = Model(n_estimators=1, learning_rate=0.5, num_leaves=2, min_child_samples=10, reg_lambda=3.0, colsample_bytree=1.0)
+    made = boosting.fit_trees(x, y, cfg)
+    p = y.mean()
+    g, h = p - y, np.full(300, p * (1 - p))
+    gains = {}
+    for k in range(3):
+        for cut in np.unique(x[:, k])[:-1]:
+            low = x[:, k] <= cut
+            if min(low.sum(), (~low).sum()) >= 10:
+                gains[k, cut] = sum(g[s].sum() ** 2 / (h[s].sum() + 3.0) for s in (low, ~low))
+    k, cut = max(gains, key=gains.get)
+    assert made.feature[0][0] == k and cut < made.cut[0][0] < cut + 1
+    low = x[:, k] <= cut
+    want = np.where(low, -0.5 * g[low].sum() / (h[low].sum() + 3.0), -0.5 * g[~low].sum() / (h[~low].sum() + 3.0)) + math.log(p / (1 - p))
+    assert np.allclose(made.raw(x), want)
+    deep = boosting.fit_trees(x, y, Model(n_estimators=20, num_leaves=8, min_child_samples=5))
+    assert all((f < 0).sum() <= 8 for f in deep.feature) and ((deep.probability(x) > 0.5) == (y > 0.5)).mean() > 0.85
+    assert np.allclose(boosting.Calibrated.from_bytes(boosting.Calibrated(deep).to_bytes()).probability(x), deep.probability(x))
+
+
+def test_isotonic_never_falls():
+    import numpy as np
+
+    from kinspark.operators import boosting
+
+    where, level = boosting.fit_isotonic(np.array([0.1, 0.2, 0.2, 0.3, 0.4, 0.5]), np.array([0.0, 1.0, 0.0, 0.0, 1.0, 1.0]))
+    assert where.tolist() == [0.1, 0.2, 0.3, 0.4, 0.5] and np.allclose(level, [0.0, 1 / 3, 1 / 3, 1.0, 1.0])
