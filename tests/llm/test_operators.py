@@ -8,7 +8,6 @@ import zlib
 from unittest import mock
 
 import numpy as np
-import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
