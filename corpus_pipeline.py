@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,11 +15,29 @@ from kinspark.llm.shared import Scratch
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+#: Rows of text that go to a Python worker at a time, at most.
+ARROW_ROWS = 2000
+
+
+def _in_small_batches(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """Lowers the session's Arrow batch size for a stage and what reads it, so that workers that live through all stages stay small."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(setting)) <= ARROW_ROWS:
+            spark.conf.set(setting, ARROW_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def _with_length(docs: DataFrame) -> DataFrame:
     """``n_chars`` follows the text where a stage has changed it."""
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
+@_in_small_batches
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model rejects go. Null and empty texts have no toxic word and stay; an empty table stays empty;
     repeated rows fare alike; without labels of both kinds every document stays."""
@@ -26,6 +45,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs.select(COLUMNS), model)
 
 
+@_in_small_batches
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of repeated runs of lines go, and documents that are left without a word by that.
 
@@ -34,6 +54,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return _with_length(line_dedup.drop_repeated_lines(docs.select(COLUMNS), emptied=False))
 
 
+@_in_small_batches
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the least id stays: sets of five words, similarity 0.8.
 
@@ -41,11 +62,13 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return jaccard.keep_one(docs.select(COLUMNS), size=5, percent=80)
 
 
+@_in_small_batches
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the text give way to a mark; every document stays, null texts as null."""
     return _with_length(secrets.redact_secrets(docs.select(COLUMNS)))
 
 
+@_in_small_batches
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of 2048, as places of pieces. A null or empty text is one piece of its end id; an empty table gives no rows."""
     return packing.pack(docs, BYTE_BPE, 2048)
